@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmill.functions import flags, text
+from tagmill.functions import text
 from tagmill.operators import curate, tags
 from tagmill.plans import fixtures, prepare
 from tagmill.plans.fixtures import derive, in_duckdb
+from tagmill.sources.items import scan_tagged
 
 MIN_TAGS = 5
 
@@ -97,7 +98,9 @@ def items_sql(select: str) -> str:
 
 
 def scan_tagged_items(spark, sf_dir):
-    return _items(spark, sf_dir).where(F.col("tags_data").isNotNull()).select("id", "image", F.length("tags_data").alias("text_length"))
+    """The minimal scan; the text is summarised by its number of tag objects, since numbers print differently elsewhere."""
+    scanned = scan_tagged(_items(spark, sf_dir))
+    return scanned.select("id", "image", F.regexp_count("tags_data", F.lit('"tag":')).alias("n_objects"))
 
 
 def filter_images(spark, sf_dir):
@@ -220,8 +223,8 @@ def dev_limit(spark, sf_dir):
 QUERIES = {
     "scan_tagged_items": (
         scan_tagged_items,
-        # Numbers print differently in the two engines, so only texts without one are measured in full.
-        None,
+        items_sql("""SELECT id, image, CAST(len(regexp_extract_all(tags_data, '"tag":')) AS integer) AS n_objects
+                     FROM items WHERE tags_data IS NOT NULL"""),
     ),
     "filter_images": (filter_images, items_sql("SELECT id, image FROM items WHERE regexp_matches(lower(image), '\\.(jpg|jpeg|png)$')")),
     "parse_tags": (
