@@ -66,9 +66,12 @@ def percent(share: Column) -> Column:
 
 
 def _one_decimal(x: Column) -> Column:
-    # Rounding the fraction alone keeps the digits that decide a half-way case.
-    whole = F.floor(x)
-    return F.format_string("%.1f", whole.cast("double") + F.bround(x - whole, 1))
+    """``x`` with one decimal, rounded on its exact binary value (half to even), as C's ``%.1f`` does."""
+    # A double prints as its shortest decimal, which can look like a tie it is not. Taking off a nearby multiple of
+    # 1/64 is exact and leaves a remainder small enough for the deciding digits to show.
+    near = F.floor(x * 64) / 64
+    exact = near.cast("decimal(38,20)") + (x - near).cast("decimal(38,20)")
+    return F.bround(exact.cast("decimal(37,20)"), 1).cast("decimal(30,1)").cast("string")
 
 
 def human_bytes(size: Column) -> Column:

@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from tagmill.plans.registry import catalog_queries, dataset_queries, request_queries, tag_queries
+    from tagmill.plans.registry import catalog_queries, dataset_queries, request_queries, stream_queries, tag_queries
 
-    return [tag_queries, catalog_queries, dataset_queries, request_queries]
+    return [tag_queries, catalog_queries, dataset_queries, request_queries, stream_queries]
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
