@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.flags import is_rating_tag
 from tagmill.functions.text import normalize_tag, percent
+from tagmill.operators.once import compute_once
 from tagmill.operators.ordered import order_statistics
 from tagmill.schemas import TAGS
 
@@ -27,7 +28,7 @@ def parse_tags(items: DataFrame, source: str = "tags_data") -> DataFrame:
     """Decode JSON text into ``tags``; empty text is an empty list, malformed text is null (see ``count_rejects``)."""
     text = F.col(source)
     parsed = F.when(text == "", F.array().cast(TAGS)).otherwise(F.from_json(text, TAGS))
-    return items.withColumn("tags", parsed).drop(source)
+    return compute_once(items, tags=parsed).drop(source)
 
 
 def count_rejects(items: DataFrame, source: str = "tags_data") -> DataFrame:
@@ -97,7 +98,7 @@ def with_idf(stats: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _confidences(items: DataFrame) -> DataFrame:
-    return items.select(F.explode(F.transform("occ", lambda o: o["conf"])).alias("conf"))
+    return items.select(F.explode("occ.conf").alias("conf"))
 
 
 def confidence_percentiles(items: DataFrame, exact: bool = True) -> DataFrame:

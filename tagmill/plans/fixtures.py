@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagmill.operators.once import compute_once
+from tagmill.session import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -112,12 +115,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Tables that drive a derivation row by row, with their keys.
+DRIVING = {"orders": "o_orderkey", "events": "event_id"}
+
+
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run a derivation over the tables in ``sf_dir``."""
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    for name in DRIVING.keys() & used.keys():
+        used[name] = spread(used[name], DRIVING[name])
     return spark.sql(text, **used)
 
 
+def stored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ITEMS with its JSON text computed once per row, as a stored column would be."""
+    return compute_once(derive(spark, sf_dir, ITEMS), tags_data=F.col("tags_data"))
+
+
 def in_duckdb(text: str) -> str:
     """The same derivation as a DuckDB subquery."""
     return text.format(**{t: t for t in TABLES})

@@ -31,13 +31,18 @@ def eligible(items: DataFrame, min_tags: int = 5, limit: int | None = None) -> D
     return parsed if limit is None else parsed.orderBy("id").limit(limit)
 
 
-def analyze(items: DataFrame, min_tags: int = 5, exact: bool = True, limit: int | None = None) -> Analysis:
-    """Statistics, thresholds and trash classification.
+def stage(items: DataFrame, min_tags: int = 5, limit: int | None = None) -> DataFrame:
+    """Eligible items with normalised occurrences (``id, image, occ``), written once to the shared folder.
 
-    The parsed items are written once to the shared folder: the JSON text is the expensive part of each pass, and four
-    passes follow (corpus size, statistics, confidences, curation).
+    Decoding the JSON text is the expensive part of a pass, and several passes follow (corpus size, statistics,
+    confidences, curation); they read this compact form instead.
     """
-    staged = cut(tags.with_occurrences(eligible(items, min_tags, limit)))
+    return cut(tags.with_occurrences(eligible(items, min_tags, limit)))
+
+
+def analyze(items: DataFrame, min_tags: int = 5, exact: bool = True, limit: int | None = None) -> Analysis:
+    """Statistics, thresholds and trash classification."""
+    staged = stage(items, min_tags, limit)
     stats = cut(tags.with_idf(tags.tag_stats(staged), staged))
     percentiles = cut(tags.confidence_percentiles(staged, exact))
     limits = cut(tags.thresholds(stats, percentiles))

@@ -23,7 +23,7 @@ def _items(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    return tag_ops.parse_tags(_items(spark, sf_dir).where("tags_data IS NOT NULL"))
+    return tag_ops.parse_tags(fixtures.stored_items(spark, sf_dir).where("tags_data IS NOT NULL"))
 
 
 def _catalog(spark, sf_dir):
@@ -101,7 +101,7 @@ _UPSERT_SQL = f"""SELECT id, up, updated_at FROM (
 
 def decode_items(spark, sf_dir):
     """Decoded items with every default applied; list contents as counts and first values."""
-    d = item_source.decode_items(_items(spark, sf_dir))
+    d = item_source.decode_items(fixtures.stored_items(spark, sf_dir))
     return d.select(
         "id", "image", "promoted", "width", "source", "flags", "user_name", "gift",
         F.size("tags").alias("n_tags"),

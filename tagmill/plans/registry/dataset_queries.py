@@ -66,7 +66,7 @@ def base64_query(spark, sf_dir):
 
 def _item_tags(spark, sf_dir):
     """Normalised tags of all items, one row per (item, tag occurrence)."""
-    items = derive(spark, sf_dir, fixtures.ITEMS).select("id", "image", "tags_data").where("tags_data IS NOT NULL")
+    items = fixtures.stored_items(spark, sf_dir).select("id", "image", "tags_data").where("tags_data IS NOT NULL")
     return tag_ops.explode_tags(tag_ops.parse_tags(items)).select("id", "tag")
 
 
@@ -93,7 +93,7 @@ def decode_labels(spark, sf_dir):
 
 def csv_wide_tags(spark, sf_dir):
     """Wide tag columns written as CSV, read back with their schema and unpivoted."""
-    items = derive(spark, sf_dir, fixtures.ITEMS).select("id", "image", "tags_data").where("tags_data IS NOT NULL")
+    items = fixtures.stored_items(spark, sf_dir).select("id", "image", "tags_data").where("tags_data IS NOT NULL")
     listed = tag_ops.with_occurrences(tag_ops.parse_tags(items)).select("image", F.transform("occ", lambda o: o["tag"]).alias("tags"))
     path = scratch_path(spark, "wide")
     labels.to_wide(listed).write.option("header", True).csv(path)

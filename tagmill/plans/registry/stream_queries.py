@@ -107,7 +107,7 @@ def stream_cooldown_sessions(spark, sf_dir):
 def stream_tag_counts(spark, sf_dir):
     """Running counts per tag after all landed details."""
     landed, out, state = scratch_path(spark, "details"), scratch_path(spark, "counts"), scratch_path(spark, "state")
-    items = derive(spark, sf_dir, fixtures.ITEMS).select("id", "tags_data").where("tags_data IS NOT NULL")
+    items = fixtures.stored_items(spark, sf_dir).select("id", "tags_data").where("tags_data IS NOT NULL")
     details = tag_ops.parse_tags(items).select(F.col("id").alias("item_id"), "tags", F.lit(None).cast(COMMENTS).alias("comments"))
     details.select(F.to_json(F.struct(*DETAIL.fieldNames())).alias("value")).write.text(landed)
     counts = stream_tags.running_tag_counts(stream_tags.detail_stream(spark, landed, 2))

@@ -15,7 +15,7 @@ MIN_TAGS = 5
 
 
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(spark, sf_dir, fixtures.ITEMS)
+    return fixtures.stored_items(spark, sf_dir)
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.with_occurrences(prepare.eligible(_items(spark, sf_dir), MIN_TAGS))
+    return prepare.stage(_items(spark, sf_dir), MIN_TAGS)
 
 
 def _round(df: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def scan_tagged_items(spark, sf_dir):
 
 
 def filter_images(spark, sf_dir):
-    return _items(spark, sf_dir).where(text.is_image(F.col("image"))).select("id", "image")
+    return derive(spark, sf_dir, fixtures.ITEMS).where(text.is_image(F.col("image"))).select("id", "image")
 
 
 def parse_tags(spark, sf_dir):

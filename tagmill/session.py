@@ -47,11 +47,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that several branches read the same rows once computed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back: lineage ends there, and every branch sees the same rows.
+
+    Parquet rather than an RDD checkpoint, because the passes that follow read few of the columns and the planner
+    learns the true size. The folder is scratch space and is emptied by its owner.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan that has fewer splits than the session has cores, as one small file does.
+
+    A large table has splits enough and is left alone, so this never shuffles at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

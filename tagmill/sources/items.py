@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagmill.functions.text import is_image
+from tagmill.operators.once import compute_once
 from tagmill.schemas import COMMENTS, DETAIL, ITEM, PAGE, STORED_ITEM, TAGS
 
 
@@ -60,7 +61,8 @@ def decode_items(stored: DataFrame) -> DataFrame:
         text = F.when(F.col(name) != "", F.col(name))
         return _with_element_defaults(F.coalesce(F.from_json(text, schema), F.array().cast(schema)), schema)
 
-    nested = {"tags": decoded("tags_data", TAGS), "comments": decoded("comments_data", COMMENTS)}
+    stored = compute_once(stored, tags=decoded("tags_data", TAGS), comments=decoded("comments_data", COMMENTS))
+    nested = {"tags": F.col("tags"), "comments": F.col("comments")}
     columns = []
     for field in ITEM.fields:
         if field.name in nested:
