@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagmill.functions.text import file_extension, has_media_extension
-from tagmill.operators.images import relative_path
 from tagmill.schemas import DATASET, VOCABULARY, WIDE_TAGS
+from tagmill.sources.listing import list_tree
 
 DEFAULT_IMAGE_SIZE = (224, 224)
 
 
 def list_media(spark: SparkSession, root: str, include_videos: bool = False) -> DataFrame:
     """``image, length, modified`` of the files below ``root`` with an allowed extension; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
-    listed = files.select(
-        relative_path(F.col("path"), root).alias("image"), "length", F.col("modificationTime").alias("modified")
-    )
+    listed = list_tree(spark, root).withColumnRenamed("path", "image")
     return listed.where((file_extension(F.col("image")) != "") & has_media_extension(F.col("image"), include_videos))
 
 
