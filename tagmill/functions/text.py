@@ -23,7 +23,8 @@ def normalize_tag(tag: Column) -> Column:
 
 def extension(path: Column) -> Column:
     """Lower-cased extension with its dot; an empty string where there is none."""
-    return F.lower(F.regexp_extract(path, r"(\.[^.]+)$", 1))
+    tail = F.substring_index(path, ".", -1)
+    return F.when(path.contains(".") & (tail != ""), F.concat(F.lit("."), F.lower(tail))).when(path.isNotNull(), F.lit(""))
 
 
 def file_extension(path: Column) -> Column:

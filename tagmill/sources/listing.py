@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tagmill.session import cut
 
-ENTRY = "path string, is_dir boolean, length long, modified timestamp"
+ENTRY = "path string, is_dir boolean, length long, modified double"
 BATCH = 10_000
 
 
@@ -45,9 +45,7 @@ def _scan(root: str, folder: str) -> Iterator[tuple]:
 def _list(folders: DataFrame, root: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def frame(rows):
-            out = pd.DataFrame(rows, columns=["path", "is_dir", "length", "modified"])
-            out["modified"] = pd.to_datetime(out["modified"], unit="s", utc=True)
-            return out
+            return pd.DataFrame(rows, columns=["path", "is_dir", "length", "modified"])
 
         for batch in batches:
             for folder in batch["path"]:
@@ -71,4 +69,5 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
     while not level.where("is_dir").isEmpty():
         level = cut(_list(level.where("is_dir").repartition("path"), root))
         levels.append(level)
-    return reduce(DataFrame.unionByName, levels).where(~F.col("is_dir")).drop("is_dir")
+    files = reduce(DataFrame.unionByName, levels).where(~F.col("is_dir"))
+    return files.select("path", "length", F.timestamp_seconds("modified").alias("modified"))
