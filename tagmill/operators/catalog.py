@@ -112,7 +112,7 @@ def in_window(page_items: DataFrame, plan: DataFrame) -> DataFrame:
 
 def new_items(page_items: DataFrame, held: DataFrame) -> DataFrame:
     """Page items whose id is not held."""
-    return page_items.join(held.select("id"), "id", "left_anti")
+    return page_items.join(held.select("id").distinct(), "id", "left_anti")
 
 
 def attach_details(items: DataFrame, details: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def attach_details(items: DataFrame, details: DataFrame) -> DataFrame:
 
 def failed_details(items: DataFrame, details: DataFrame) -> DataFrame:
     """Items whose detail document is missing."""
-    return items.join(details.select(F.col("item_id").alias("id")), "id", "left_anti")
+    return items.join(details.select(F.col("item_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def upsert_latest(versions: DataFrame, order: Sequence[str] = ("updated_at", "seq")) -> DataFrame:

@@ -10,6 +10,9 @@ from tagmill.operators.ordered import smallest
 
 SPLIT_BUCKETS = 10_000
 
+# Size classes of a dataset card by their smallest number of samples.
+SIZE_CLASSES = {"100K<n<1M": 100_000, "10K<n<100K": 10_000, "1K<n<10K": 0}
+
 
 def id_hash(key: Column) -> Column:
     """A 32-bit hash of the id that other engines reproduce."""
@@ -57,7 +60,7 @@ def card_stats(dataset: DataFrame, test_share: float = 0.1) -> DataFrame:
     )
     names = safe_only(dataset).select(F.explode("tags").alias("tag")).distinct().agg(F.count("*")).scalar()
     n = F.col("safe_items")
-    size = F.when(n >= 100_000, "100K<n<1M").when(n >= 10_000, "10K<n<100K").otherwise("1K<n<10K")
+    size = F.coalesce(*[F.when(n >= least, F.lit(name)) for name, least in SIZE_CLASSES.items()])
     return counted.select(
         "*",
         F.coalesce(F.try_divide(n * 100, F.col("total_items")), F.lit(0.0)).alias("safe_percent"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.functions.text import file_name, has_media_extension, join_path, parent_dir
+from tagmill.functions.text import extension, file_name, has_media_extension, join_path, parent_dir
 
 
 def catalog_media(items: DataFrame, include_videos: bool = False) -> DataFrame:
@@ -15,13 +15,14 @@ def catalog_media(items: DataFrame, include_videos: bool = False) -> DataFrame:
 
 def missing_media(catalog: DataFrame, listing: DataFrame, media_root: str | None = None) -> DataFrame:
     """Catalog rows whose path is not stored; a path used twice is reported twice."""
-    missing = catalog.join(listing.select("image"), "image", "left_anti")
+    # Listed paths are made distinct before they are shuffled; the join then reuses that partitioning.
+    missing = catalog.join(listing.select("image").distinct(), "image", "left_anti")
     return missing if media_root is None else missing.withColumn("local_path", join_path(F.lit(media_root), F.col("image")))
 
 
 def missing_media_distinct(catalog: DataFrame, listing: DataFrame) -> DataFrame:
     """Each missing path once."""
-    return catalog.select("image").distinct().join(listing.select("image"), "image", "left_anti")
+    return catalog.select("image").distinct().join(listing.select("image").distinct(), "image", "left_anti")
 
 
 def missing_by_dir(catalog: DataFrame, listing: DataFrame) -> DataFrame:
@@ -62,10 +63,12 @@ def media_summary(catalog: DataFrame, listing: DataFrame, seconds: float | None
 
 
 def verify_sizes(catalog: DataFrame, local: DataFrame, remote: DataFrame) -> DataFrame:
-    """Add ``needs_download``: not stored -> yes; remote size unknown -> no; otherwise whether the sizes differ."""
-    sized = catalog.join(local.select("image", "local_size"), "image", "left").join(
-        remote.select("image", "remote_size"), "image", "left"
-    )
+    """Add ``needs_download``: not stored -> yes; remote size unknown -> no; otherwise whether the sizes differ.
+
+    A path has one size on either side.
+    """
+    one = lambda df, size: df.groupBy("image").agg(F.max(size).alias(size))
+    sized = catalog.join(one(local, "local_size"), "image", "left").join(one(remote, "remote_size"), "image", "left")
     needs = (
         F.when(F.col("local_size").isNull(), True)
         .when(F.col("remote_size").isNull(), False)
@@ -75,8 +78,7 @@ def verify_sizes(catalog: DataFrame, local: DataFrame, remote: DataFrame) -> Dat
 
 
 def extension_counts(catalog: DataFrame) -> DataFrame:
-    from tagmill.functions.text import extension
-
+    """Number of paths per extension (an empty text for none)."""
     return catalog.where("image IS NOT NULL").groupBy(extension(F.col("image")).alias("ext")).agg(F.count("*").alias("n"))
 
 

@@ -71,7 +71,7 @@ FROM {{orders}}
 """
 LISTING = f"""
 SELECT image, local_size FROM ({CATALOG}) c
-WHERE image IS NOT NULL AND id IN (SELECT l_orderkey FROM {{lineitem}} WHERE l_returnflag = 'R')
+WHERE image IS NOT NULL AND id IN (SELECT DISTINCT l_orderkey FROM {{lineitem}} WHERE l_returnflag = 'R')
 """
 
 # Ids that are held: orders without any line are the natural gaps. Ids repeat, as lines do.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tagmill.functions.text import file_name, parent_dir
 from tagmill.operators import tags as tag_ops
 from tagmill.plans import fixtures
 from tagmill.plans.fixtures import derive, in_duckdb, table
@@ -13,6 +14,7 @@ from tagmill.plans.registry.tag_queries import items_sql
 from tagmill.schemas import COMMENTS, DETAIL
 from tagmill.session import scratch_path
 from tagmill.sources import items as item_source
+from tagmill.sources.listing import list_tree
 from tagmill.streaming import ingest, requests, sinks
 from tagmill.streaming import tags as stream_tags
 
@@ -46,6 +48,16 @@ def ingest_pages(spark, sf_dir):
     return joined.select("id", "image", "flags", F.coalesce("n_comments", F.lit(0)).alias("n_comments"), F.coalesce("n_chars", F.lit(0)).alias("n_chars"))
 
 
+def media_listing(spark, sf_dir):
+    """Directories and files found below a root that holds one file of paths per year and month."""
+    root = scratch_path(spark, "media")
+    dated = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"), "o_orderkey")
+    # Salted, so that a busy month is written by several tasks.
+    dated.repartition("y", "m", F.col("o_orderkey") % 4).write.partitionBy("y", "m").csv(root)
+    found = list_tree(spark, root).where(F.col("path").endswith(".csv") & ~file_name(F.col("path")).startswith("."))
+    return found.groupBy(parent_dir(F.col("path")).alias("dir")).agg((F.sum("length") > 0).alias("has_data"))
+
+
 def stream_upsert(spark, sf_dir):
     """Base pages, then two waves of newer pages, ingested in micro-batches; the store's latest versions."""
     _utc(spark)
@@ -117,6 +129,10 @@ def stream_tag_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "media_listing": (
+        media_listing,
+        """SELECT DISTINCT 'y=' || CAST(year(o_orderdate) AS varchar) || '/m=' || CAST(month(o_orderdate) AS varchar) AS dir, true AS has_data FROM orders""",
+    ),
     "ingest_pages": (
         ingest_pages,
         CATALOG_CTE
