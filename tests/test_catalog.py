@@ -27,7 +27,8 @@ def test_gaps_agree_with_sets(spark):
     missing = set(range(1, 210_001)) - set(held)
     assert row.total_missing == len(missing) and not row.is_complete
     ranges = catalog.gap_ranges(ids(spark, held), bucket=1000).collect()
-    inside = {m for m in missing if min(held) < m < max(held)}
+    low, high = min(held), max(held)
+    inside = {m for m in missing if low < m < high}
     assert {i for r in ranges for i in range(r.gap_start, r.gap_end + 1)} == inside
     assert sum(r.gap_length for r in ranges) == row.internal_gaps == len(inside)
 

@@ -7,11 +7,15 @@ from tagmill.plans.registry import all_queries
 from tests.oracle import compare
 
 
+# The smallest tables are too sparse for a window above the threshold.
+MAY_BE_EMPTY = {"rate_sliding", "stream_rate_sliding"}
+
+
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_matches_duckdb(spark, sf_dir, name):
     n_rows, difference = compare(spark, sf_dir, name)
     assert difference is None, difference
-    assert n_rows > 0 or name in ("trash_sample",)
+    assert n_rows > 0 or name in MAY_BE_EMPTY
 
 
 def test_entry_has_the_contract(spark):
