@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tagmill.functions.flags import is_rating_tag
 from tagmill.functions.text import normalize_tag, percent
@@ -24,10 +25,10 @@ VARIANCE_FACTOR = 2
 VARIANCE_MIN_TAGS = 100
 
 
-def parse_tags(items: DataFrame, source: str = "tags_data") -> DataFrame:
+def parse_tags(items: DataFrame, source: str = "tags_data", schema: ArrayType = TAGS) -> DataFrame:
     """Decode JSON text into ``tags``; empty text is an empty list, malformed text is null (see ``count_rejects``)."""
     text = F.col(source)
-    parsed = F.when(text == "", F.array().cast(TAGS)).otherwise(F.from_json(text, TAGS))
+    parsed = F.when(text == "", F.array().cast(schema)).otherwise(F.from_json(text, schema))
     return compute_once(items, tags=parsed).drop(source)
 
 

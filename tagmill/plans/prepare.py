@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.text import is_image
 from tagmill.operators import curate, tags
+from tagmill.schemas import NAMED_TAGS
 from tagmill.session import cut
 
 
@@ -27,7 +28,7 @@ def eligible(items: DataFrame, min_tags: int = 5, limit: int | None = None) -> D
     """Still images with at least ``min_tags`` raw tags: ``id, image, tags``. ``limit`` is the development row cap."""
     scanned = items.where(F.col("tags_data").isNotNull()).select("id", "image", "tags_data")
     images = scanned.where(is_image(F.col("image")))
-    parsed = tags.filter_min_tags(tags.parse_tags(images), min_tags)
+    parsed = tags.filter_min_tags(tags.parse_tags(images, schema=NAMED_TAGS), min_tags)
     return parsed if limit is None else parsed.orderBy("id").limit(limit)
 
 

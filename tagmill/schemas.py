@@ -11,6 +11,9 @@ TAG = T.StructType(
 )
 TAGS = T.ArrayType(TAG)
 
+# What statistics and curation read of a tag.
+NAMED_TAGS = T.ArrayType(T.StructType([f for f in TAG.fields if f.name != "id"]))
+
 COMMENT = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -20,6 +20,8 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         # The adaptive planner may hash a join side whose partitions it has measured below this, and sorts otherwise.
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Stream state (seen ids, open windows) may outgrow the executor's heap.
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
