@@ -18,6 +18,8 @@ GAP_SECONDS = 1200
 
 
 def _log(spark, sf_dir):
+    # Event times carry no zone; they are read as UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return derive(spark, sf_dir, fixtures.REQUESTS)
 
 
