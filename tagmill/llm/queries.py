@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagmill.llm import simhash
+from tagmill.llm import simhash, tokens
 from tagmill.llm.common import table
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.default_vocabulary())
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op6_token_counts": op6_token_counts,
     "op8_simhash": op8_simhash,
 }
 
