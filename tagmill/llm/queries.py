@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmill.llm import leaks, licenses, mixing, pii, quality, simhash, tokens
+from tagmill.llm import leaks, licenses, mixing, neighbours, pages, pii, quality, simhash, suffixes, tokens
 from tagmill.llm.common import table
 
 
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,22 +36,34 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokens.default_vocabulary())
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_page_text": op1_page_text,
     "op2_decontamination": op2_decontamination,
     "op3_personal_data": op3_personal_data,
     "op4_license_scan": op4_license_scan,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_simhash": op8_simhash,
+    "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
 
