@@ -43,3 +43,11 @@ def tokenizer_path(name: str) -> str:
 def literals(values: Iterable) -> Column:
     """An array literal of a bounded, constant list."""
     return F.array(*[F.lit(v) for v in values])
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files behind a table that ``session.cut`` wrote, once nothing reads it any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for file in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

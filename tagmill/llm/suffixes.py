@@ -8,8 +8,8 @@ suffixes would move the text many times over, so suffixes are thinned twice with
    anchor; its leading tokens are the anchor's hash and the hashes of the bytes that the run covers.
 2. Records are range-partitioned by sampled splitters on these tokens, each bucket is sorted by a multikey quicksort, and
    neighbours are compared, across bucket boundaries too. A record equal to an earlier one is a repeat as a whole. Where an
-   anchor has several contexts, the strings of each context's first record are taken singly, as suffixes cut at LENGTH bytes,
-   and sorted and compared in the same way.
+   anchor has several contexts, these are range-partitioned by the anchor once more, with their bytes, and each bucket sorts
+   and compares their strings singly, as suffixes cut at LENGTH bytes.
 """
 
 from __future__ import annotations
@@ -22,16 +22,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import narrow, text_or_empty
+from tagmill.llm.common import broadcast_if_bounded, discard, narrow, text_or_empty
 from tagmill.session import cut
 
 LENGTH = 100
-GRAM = 40
+GRAM = 32
 WIDTH = LENGTH - GRAM + 1
 #: Strings of a text that are looked at together; pieces overlap by LENGTH - 1 bytes. Their places must fit 20 bits.
 PIECE = 1 << 19
-#: Records that a bucket of the sort should hold.
-BUCKET = 400_000
+#: Records, and contexts of some thirty strings each, that a bucket of the sorts should hold.
+BUCKET, CONTEXTS = 400_000, 20_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -123,20 +123,27 @@ def _unsigned(column: pd.Series) -> np.ndarray:
 RECORD = "doc long, twin long, start long, n int"
 
 
-def _buckets(df: DataFrame) -> int:
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // BUCKET))
+def _buckets(df: DataFrame, size: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // size))
 
 
-def _compared(records: DataFrame, group: list[str], tokens: list[str]) -> DataFrame:
-    """The records that matter, with ``kind``: 'repeat' if an earlier record has equal ``tokens``; 'split' if it is the first with
-    its tokens and others share only its ``group`` (the leading ones of the tokens).
+def _late(ends: DataFrame, tokens: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(first place and count of each value of ``tokens``, the rows that have an earlier place), by partial aggregation."""
+    first = ends.groupBy(*tokens).agg(F.min(F.struct("doc", "twin", "start", "n")).alias("first"), F.count("*").alias("times"))
+    named = first.where("times > 1").select(*[F.col(t).alias(f"_{t}") for t in tokens], "first")
+    same = (F.col("doc") == F.col("first.doc")) & (F.col("twin") == F.col("first.twin")) & (F.col("start") == F.col("first.start"))
+    return first, ends.join(named, [F.col(t) == F.col(f"_{t}") for t in tokens]).where(~same)
+
+
+def _compared(records: DataFrame) -> DataFrame:
+    """The records that matter, with ``kind``: 'repeat' if an earlier record has equal tokens h and c; 'split' if it is the first
+    with its tokens and others share only its anchor h.
 
     Sampled splitters range-partition the records by tokens and place in the corpus, so that a frequent token spreads over many
-    buckets. A bucket settles the groups that lie wholly within it. Those at its two ends may go on in the next buckets; they
+    buckets. A bucket settles the anchors that lie wholly within it. Those at its two ends may go on in the next buckets; they
     are compared across the boundaries by partial aggregation, which needs no task to hold a group.
     """
-    order = [*tokens, "doc", "twin", "start"]
-    keep = ["doc", "twin", "start", "n", *tokens]
+    order = ["h", "c", "doc", "twin", "start"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
@@ -148,40 +155,80 @@ def _compared(records: DataFrame, group: list[str], tokens: list[str]) -> DataFr
         words = words[at]
         differs = words[1:] != words[:-1]
         again = np.r_[False, ~differs.any(1)]  # the same place twice: a row that repeats in the input
-        new_group = np.r_[True, differs[:, : len(group)].any(1)]
-        new = np.r_[True, differs[:, : len(tokens)].any(1)]
+        new_group = np.r_[True, differs[:, 0]]
+        new = np.r_[True, differs[:, :2].any(1)]
         number = np.cumsum(new_group) - 1
         kind = np.where(~new, "repeat", np.where(np.bincount(number, weights=new)[number] > 1, "split", ""))
-        # A record equal to its context's first place is that place itself.
-        lead = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
-        kind[(words[:, len(tokens) :] == words[lead][:, len(tokens) :]).all(1) & ~new] = ""
         kind = np.where((number == 0) | (number == number[-1]), "open", kind)
         kind[again] = ""
         found = np.flatnonzero(kind != "")
-        out = df.iloc[at[found]][keep].copy()
+        out = df.iloc[at[found]].copy()
         out["kind"] = kind[found]
         yield out
 
-    types = ", ".join(f"{t} long" for t in tokens)
-    spread = records.select(*keep).repartitionByRange(_buckets(records), *order)
-    found = cut(spread.mapInPandas(run, f"{RECORD}, {types}, kind string"))
+    spread = records.repartitionByRange(_buckets(records, BUCKET), *order)
+    found = cut(spread.mapInPandas(run, f"{RECORD}, h long, c long, kind string"))
+    first, late = _late(found.where("kind = 'open'"), ["h", "c"])
+    several = first.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1").select(F.col("h").alias("_h"))
+    across = first.join(several, F.col("h") == F.col("_h")).select("first.*", "h", F.lit("split").alias("kind"))
+    keep = ["doc", "twin", "start", "n", "h"]
+    return found.where("kind <> 'open'").select(*keep, "kind").unionByName(late.select(*keep, F.lit("repeat").alias("kind"))).unionByName(across)
+
+
+WORDS = -(-LENGTH // 8)
+
+
+def _strings(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, bytes as big-endian words) of every string of every context."""
+    sizes = df["n"].to_numpy()
+    rows = np.repeat(np.arange(len(df)), sizes)
+    within = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    raw = np.frombuffer(b"".join(df["bytes"]), np.uint8)
+    lengths = sizes + LENGTH - 1
+    begin = np.repeat(np.cumsum(lengths) - lengths, sizes) + within
+    block = np.zeros((len(rows), 8 * WORDS), np.uint8)
+    block[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[begin]
+    return rows, df["start"].to_numpy()[rows] + within, block.view(">u8").astype(np.uint64)
 
-    ends = found.where("kind = 'open'")
-    first = ends.groupBy(*tokens).agg(F.min(F.struct("doc", "twin", "start", "n")).alias("first"), F.count("*").alias("times"))
-    named = first.where("times > 1").select(*[F.col(t).alias(f"_{t}") for t in tokens], "first")
-    same = (F.col("doc") == F.col("first.doc")) & (F.col("twin") == F.col("first.twin")) & (F.col("start") == F.col("first.start"))
-    late = ends.join(named, [F.col(t) == F.col(f"_{t}") for t in tokens]).where(~same).select("doc", "twin", "start", "n", F.lit("repeat").alias("kind"))
-    inner = found.where("kind <> 'open'").select("doc", "twin", "start", "n", "kind")
-    both = inner.unionByName(late)
-    if len(group) < len(tokens):
-        several = first.groupBy(*group).agg(F.count("*").alias("contexts")).where("contexts > 1").select(*[F.col(g).alias(f"_{g}") for g in group])
-        both = both.unionByName(first.join(several, [F.col(g) == F.col(f"_{g}") for g in group]).select("first.*", F.lit("split").alias("kind")))
-    return both
+
+def _single(contexts: DataFrame) -> DataFrame:
+    """(doc, twin, start, n): runs of strings of the contexts that also start earlier, anchors being compared one by one.
+
+    As above, anchors at a bucket's ends are left to partial aggregation over their strings.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        df = pd.concat(parts, ignore_index=True)
+        least, most = df["h"].min(), df["h"].max()
+        rows, starts, suffix = _strings(df)
+        place = [_unsigned(df["doc"])[rows], _unsigned(df["twin"])[rows], starts.astype(np.uint64)]
+        at = multikey_order(np.c_[tuple([suffix, *place])])
+        same = np.r_[False, (suffix[at][1:] == suffix[at][:-1]).all(1)]
+        lead = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
+        itself = np.all([p[at] == p[lead] for p in place], axis=0)
+        open_row = ((df["h"] == least) | (df["h"] == most)).to_numpy()
+        late = at[same & ~itself & ~open_row[rows[at]]]
+        late = late[np.lexsort((starts[late], rows[late]))]
+        if len(late):  # neighbouring strings of one context make a run
+            begins = np.flatnonzero(np.r_[True, (rows[late][1:] != rows[late][:-1]) | (starts[late][1:] != starts[late][:-1] + 1)])
+            own = df.iloc[rows[late[begins]]]
+            yield pd.DataFrame({"doc": own["doc"].to_numpy(), "twin": own["twin"].to_numpy(), "start": starts[late[begins]], "n": np.diff(np.r_[begins, len(late)]).astype(np.int32), "bytes": None})
+        yield df[open_row][["doc", "twin", "start", "n", "bytes"]]
+
+    spread = contexts.repartitionByRange(_buckets(contexts, CONTEXTS), "h", "doc", "twin", "start")
+    found = cut(spread.mapInPandas(run, f"{RECORD}, bytes binary"))
+    ends = found.where("bytes is not null").select("doc", "twin", F.col("start").alias("at"), "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    ends = ends.select("doc", "twin", (F.col("at") + F.col("i")).alias("start"), F.lit(1).alias("n"), F.substring("bytes", F.col("i") + 1, F.lit(LENGTH)).alias("k"))
+    late = _late(ends, ["k"])[1]
+    return found.where("bytes is null").select("doc", "twin", "start", "n").unionByName(late.select("doc", "twin", "start", "n"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = narrow(docs, id_col, text_col).select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return base.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("twin"), "text")
+    return base.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), F.pmod(F.xxhash64("text"), F.lit(1 << 20)).alias("twin"), "text")
 
 
 def _run_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,33 +242,27 @@ def _run_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(dict(zip(("doc", "twin", "start", "n", "h", "c"), map(np.concatenate, zip(*out)))))
 
 
-WORDS = -(-LENGTH // 8)
-SUFFIX = [f"k{i}" for i in range(WORDS)]
-
-
-def _suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row for each string of each listed run: its bytes as WORDS signed big-endian words of the same order."""
+def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of each listed run."""
     for batch in batches:
+        out = []
         for doc, twin, text, listed in batch[["doc", "twin", "text", "runs"]].itertuples(index=False):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            starts = np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in listed])
-            for at in range(0, len(starts), 1 << 15):
-                part = starts[at : at + (1 << 15)]
-                block = np.zeros((len(part), 8 * WORDS), np.uint8)
-                block[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[part]
-                keys = (block.view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-                yield pd.DataFrame({"doc": doc, "twin": twin, "start": part, "n": np.int32(1), **{k: keys[:, i] for i, k in enumerate(SUFFIX)}})
+            raw = text.encode()
+            out += [(doc, twin, r["start"], r["n"], r["h"], raw[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in listed]
+        yield pd.DataFrame(out, columns=["doc", "twin", "start", "n", "h", "bytes"])
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(doc, twin, spans): for each document with repeats the runs (start, n) of strings that also start earlier."""
     records = cut(texts.select("doc", "twin", "text").mapInPandas(_run_records, f"{RECORD}, h long, c long"))
-    runs_found = cut(_compared(records, ["h"], ["h", "c"]))
-    listed = runs_found.where("kind = 'split'").groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
-    listed = listed.select(F.col("doc").alias("_doc"), F.col("twin").alias("_twin"), "runs")
-    sources = texts.join(listed, (F.col("doc") == F.col("_doc")) & (F.col("twin") == F.col("_twin"))).select("doc", "twin", "text", "runs")
-    single = cut(sources.mapInPandas(_suffixes, f"{RECORD}, {', '.join(f'{k} long' for k in SUFFIX)}"))
-    repeats = runs_found.where("kind = 'repeat'").unionByName(_compared(single, SUFFIX, SUFFIX).where("kind = 'repeat'"))
+    runs_found = cut(_compared(records))
+    discard(records)
+    listed = runs_found.where("kind = 'split'").groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "n", "h")).alias("runs"))
+    listed = cut(listed.select(F.col("doc").alias("_doc"), F.col("twin").alias("_twin"), "runs"))
+    # Mostly few of the documents have such runs: where their counted size allows it, the texts stay in place.
+    sources = texts.join(broadcast_if_bounded(listed, 1024), (F.col("doc") == F.col("_doc")) & (F.col("twin") == F.col("_twin")))
+    contexts = cut(sources.select("doc", "twin", "text", "runs").mapInPandas(_contexts, f"{RECORD}, h long, bytes binary"))
+    repeats = runs_found.where("kind = 'repeat'").select("doc", "twin", "start", "n").unionByName(_single(contexts))
     return repeats.groupBy("doc", "twin").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
 
@@ -229,7 +270,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and spans as [start, end) pairs.
 
     Documents are ordered by id; a null id comes first. Rows with one id and different texts are different documents, ordered by
-    a hash of the text; rows that repeat id and text are one document and get the same result. Null and empty texts and texts
+    a 20-bit hash of the text; rows that repeat id and text are one document and get the same result. Null and empty texts and texts
     shorter than LENGTH bytes lose nothing. Texts of any length are read whole, in overlapping pieces. Strings never cross
     documents; whether one is a repeat is judged on the input. Other columns are ignored.
     """
