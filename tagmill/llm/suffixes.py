@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import broadcast_if_bounded, discard, narrow, text_or_empty
+from tagmill.llm.common import discard, narrow, text_or_empty
 from tagmill.session import cut
 
 LENGTH = 100
@@ -140,8 +140,8 @@ def _compared(records: DataFrame) -> DataFrame:
     with its tokens and others share only its anchor h.
 
     Sampled splitters range-partition the records by tokens and place in the corpus, so that a frequent token spreads over many
-    buckets. A bucket settles the anchors that lie wholly within it. Those at its two ends may go on in the next buckets; they
-    are compared across the boundaries by partial aggregation, which needs no task to hold a group.
+    buckets. A bucket settles the anchors that lie wholly within it. Those at its two ends may go on in the next buckets; the
+    first record of each of their contexts is compared across the boundaries by partial aggregation.
     """
     order = ["h", "c", "doc", "twin", "start"]
 
@@ -159,7 +159,8 @@ def _compared(records: DataFrame) -> DataFrame:
         new = np.r_[True, differs[:, :2].any(1)]
         number = np.cumsum(new_group) - 1
         kind = np.where(~new, "repeat", np.where(np.bincount(number, weights=new)[number] > 1, "split", ""))
-        kind = np.where((number == 0) | (number == number[-1]), "open", kind)
+        # At the ends only the first record of its tokens is open: what follows it in the bucket is a repeat anyway.
+        kind = np.where(new & ((number == 0) | (number == number[-1])), "open", kind)
         kind[again] = ""
         found = np.flatnonzero(kind != "")
         out = df.iloc[at[found]].copy()
@@ -194,7 +195,7 @@ def _strings(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _single(contexts: DataFrame) -> DataFrame:
     """(doc, twin, start, n): runs of strings of the contexts that also start earlier, anchors being compared one by one.
 
-    As above, anchors at a bucket's ends are left to partial aggregation over their strings.
+    As above, of the anchors at a bucket's ends the first place of each string is left to partial aggregation.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,19 +211,22 @@ def _single(contexts: DataFrame) -> DataFrame:
         lead = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
         itself = np.all([p[at] == p[lead] for p in place], axis=0)
         open_row = ((df["h"] == least) | (df["h"] == most)).to_numpy()
-        late = at[same & ~itself & ~open_row[rows[at]]]
+        late = at[same & ~itself]
         late = late[np.lexsort((starts[late], rows[late]))]
         if len(late):  # neighbouring strings of one context make a run
             begins = np.flatnonzero(np.r_[True, (rows[late][1:] != rows[late][:-1]) | (starts[late][1:] != starts[late][:-1] + 1)])
             own = df.iloc[rows[late[begins]]]
             yield pd.DataFrame({"doc": own["doc"].to_numpy(), "twin": own["twin"].to_numpy(), "start": starts[late[begins]], "n": np.diff(np.r_[begins, len(late)]).astype(np.int32), "bytes": None})
-        yield df[open_row][["doc", "twin", "start", "n", "bytes"]]
+        ends = at[~same & open_row[rows[at]]]
+        for i in range(0, len(ends), 1 << 14):
+            part = ends[i : i + (1 << 14)]
+            own = df.iloc[rows[part]]
+            text = [r[:LENGTH].tobytes() for r in suffix[part].astype(">u8").view(np.uint8)]
+            yield pd.DataFrame({"doc": own["doc"].to_numpy(), "twin": own["twin"].to_numpy(), "start": starts[part], "n": np.int32(1), "bytes": text})
 
     spread = contexts.repartitionByRange(_buckets(contexts, CONTEXTS), "h", "doc", "twin", "start")
     found = cut(spread.mapInPandas(run, f"{RECORD}, bytes binary"))
-    ends = found.where("bytes is not null").select("doc", "twin", F.col("start").alias("at"), "bytes", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    ends = ends.select("doc", "twin", (F.col("at") + F.col("i")).alias("start"), F.lit(1).alias("n"), F.substring("bytes", F.col("i") + 1, F.lit(LENGTH)).alias("k"))
-    late = _late(ends, ["k"])[1]
+    late = _late(found.where("bytes is not null").withColumnRenamed("bytes", "k"), ["k"])[1]
     return found.where("bytes is null").select("doc", "twin", "start", "n").unionByName(late.select("doc", "twin", "start", "n"))
 
 
@@ -259,8 +263,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     discard(records)
     listed = runs_found.where("kind = 'split'").groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "n", "h")).alias("runs"))
     listed = cut(listed.select(F.col("doc").alias("_doc"), F.col("twin").alias("_twin"), "runs"))
-    # Mostly few of the documents have such runs: where their counted size allows it, the texts stay in place.
-    sources = texts.join(broadcast_if_bounded(listed, 1024), (F.col("doc") == F.col("_doc")) & (F.col("twin") == F.col("_twin")))
+    sources = texts.join(listed, (F.col("doc") == F.col("_doc")) & (F.col("twin") == F.col("_twin")))
     contexts = cut(sources.select("doc", "twin", "text", "runs").mapInPandas(_contexts, f"{RECORD}, h long, bytes binary"))
     repeats = runs_found.where("kind = 'repeat'").select("doc", "twin", "start", "n").unionByName(_single(contexts))
     return repeats.groupBy("doc", "twin").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
