@@ -237,7 +237,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pd.DataFrame(out)
 
     kind = dict(base.dtypes)["id"]
-    own = base.mapInPandas(parsed, f"id {kind}, url string, row long, ours array<long>, lines array<string>, states array<int>")
+    carried = base.withColumn("id", F.col("id").cast("string"))  # pandas would round long ids beside a null
+    own = carried.mapInPandas(parsed, "id string, url string, row long, ours array<long>, lines array<string>, states array<int>")
     joined = own.join(known, F.col("row") == F.col("_row"), "left").select("id", "url", "ours", "lines", "states", "theirs")
-    found = joined.mapInPandas(decided, f"id {kind}, url string, text string, n_shared long, n_lines long")
-    return found.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_lines")
+    found = joined.mapInPandas(decided, "id string, url string, text string, n_shared long, n_lines long")
+    return found.select(F.col("id").cast(kind).alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_lines")

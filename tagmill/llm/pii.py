@@ -218,7 +218,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> dict[Pattern, float]:
         for batch in batches:
             for text in batch["text"]:
                 seen.update((s[0], votes(text, s), features(text, s)) for s in candidates(text))
-        yield pd.DataFrame({"kind": [p[0] for p in seen], "vote": [list(p[1]) for p in seen], "feature": [list(p[2]) for p in seen], "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"kind": [p[0] for p in seen], "vote": [list(p[1]) for p in seen], "feature": [list(p[2]) for p in seen], "n": list(seen.values())})
 
     parts = docs.select(text_or_empty(text_col).alias("text")).mapInPandas(run, "kind string, vote array<int>, feature array<int>, n long")
     rows = parts.groupBy("kind", "vote", "feature").agg(F.sum("n").alias("n")).collect()
@@ -256,8 +257,9 @@ def find(docs: DataFrame, model: dict[Pattern, float], id_col: str = "doc_id", t
 
     base = _texts(docs, id_col, text_col)
     kind = dict(base.dtypes)["id"]
-    found = base.mapInPandas(run, f"id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
-    return found.withColumnRenamed("id", id_col)
+    carried = base.withColumn("id", F.col("id").cast("string"))  # pandas would round long ids beside a null
+    found = carried.mapInPandas(run, f"id string, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+    return found.select(F.col("id").cast(kind).alias(id_col), *found.columns[1:])
 
 
 def mask(text: str, spans: list[Span]) -> str:

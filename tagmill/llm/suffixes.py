@@ -299,8 +299,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 kept.update(raw[last:])
                 out.append((doc_id, len(raw), sum(e - s for s, e in merged), len(merged), kept.hexdigest(), merged))
             table = pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
-            yield table.astype({"id": batch["doc_id"].dtype})
+            yield table
 
     kind = dict(texts.dtypes)["doc_id"]
-    found = joined.mapInPandas(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
-    return found.withColumnRenamed("id", id_col)
+    carried = joined.withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas would round long ids beside a null
+    found = carried.mapInPandas(run, "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
+    return found.select(F.col("id").cast(kind).alias(id_col), *found.columns[1:])

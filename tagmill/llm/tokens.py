@@ -213,8 +213,9 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
     base = narrow(docs, id_col, text_col).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     base = base.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
     kind = dict(base.dtypes)["id"]
-    counted = base.mapInPandas(run, f"id {kind}, n_bytes long, n_tokens long")
-    return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    carried = base.withColumn("id", F.col("id").cast("string"))  # pandas would round long ids beside a null
+    counted = carried.mapInPandas(run, "id string, n_bytes long, n_tokens long")
+    return counted.select(F.col("id").cast(kind).alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def default_vocabulary() -> str:
