@@ -98,14 +98,14 @@ def key_number_pairs(text: Column, keys: list[str]) -> Column:
     """Per key the number assigned to it in ``text`` (``KEY = 5``, ``key: 1 << 3``), as array<struct<key,value>>.
 
     A key may be written in capitals or in small letters. The last match wins; a shift form outranks a plain
-    number, and within one form small letters outrank capitals.
+    number, and within one form small letters outrank capitals. Numbers and shifts that a long cannot hold are no matches.
     """
     upper = "|".join(k.upper() for k in keys)
     lower = "|".join(k.lower() for k in keys)
 
     def matches(names: str, tail: str, shifted: bool) -> Column:
         pattern = F.lit(rf"\b({names})\b\s*[:=]\s*{tail}")
-        number = lambda s: s.cast("long")
+        number = lambda s: s.try_cast("long")
         zipped = F.arrays_zip(
             F.regexp_extract_all(text, pattern, F.lit(1)).alias("k"),
             F.regexp_extract_all(text, pattern, F.lit(2)).alias("v"),
@@ -114,7 +114,7 @@ def key_number_pairs(text: Column, keys: list[str]) -> Column:
             zipped,
             lambda m: F.struct(
                 F.upper(m["k"]).alias("key"),
-                (F.expr("1L") * F.pow(F.lit(2), number(m["v"])).cast("long") if shifted else number(m["v"])).alias(
+                (F.pow(F.lit(2), number(m["v"])).try_cast("long") if shifted else number(m["v"])).alias(
                     "value"
                 ),
             ),
@@ -127,7 +127,7 @@ def key_number_pairs(text: Column, keys: list[str]) -> Column:
         matches(lower, r"1\s*<<\s*(\d+)", True),
     )
     names = F.array(*[F.lit(k.upper()) for k in keys])
-    last = F.transform(names, lambda k: F.try_element_at(F.filter(found, lambda m: m["key"] == k), F.lit(-1)))
+    last = F.transform(names, lambda k: F.try_element_at(F.filter(found, lambda m: (m["key"] == k) & m["value"].isNotNull()), F.lit(-1)))
     return F.filter(last, lambda m: m.isNotNull())
 
 

@@ -59,9 +59,12 @@ def with_light(summary: DataFrame) -> DataFrame:
 
 
 def best_config(summary: DataFrame, max_share: float = GOOD_SHARE, default: str = "default") -> DataFrame:
-    """The configuration with the highest throughput among those below ``max_share``; ``default`` if none qualifies."""
-    fit = F.when(F.col("rate_limited_share") < max_share, F.struct("requests_per_second", "test_name"))
-    row = summary.agg(F.max_by(fit, F.when(F.col("rate_limited_share") < max_share, F.col("requests_per_second"))).alias("b"))
+    """The configuration with the highest throughput among those below ``max_share``; ``default`` if none qualifies.
+
+    Of equal throughputs the smallest name wins.
+    """
+    fit = F.when(F.col("rate_limited_share") < max_share, F.struct((-F.col("requests_per_second")).alias("order"), "test_name", "requests_per_second"))
+    row = summary.agg(F.min(fit).alias("b"))
     return row.select(
         F.coalesce("b.test_name", F.lit(default)).alias("test_name"),
         F.coalesce("b.requests_per_second", F.lit(0.0)).alias("throughput"),

@@ -42,7 +42,10 @@ def write_metadata(row: DataFrame, path: str) -> None:
 
 
 def export_dataset(dataset: DataFrame, path: str, name: str, max_samples: int | None = None, test_share: float = 0.1) -> DataFrame:
-    """Write the safe rows as ``data/split=train|test`` Parquet, a manifest and a card; returns the card numbers."""
+    """Write the safe rows as ``data/split=train|test`` Parquet, a manifest and a card; returns the card numbers.
+
+    Totals, exclusions and the safe share describe the whole dataset; samples, splits and tags what was written.
+    """
     spark = dataset.sparkSession
     safe = export.sample_cap(export.safe_only(dataset, require_rows=True), max_samples)
     rows = export.with_split(export.export_columns(safe), test_share)
@@ -52,7 +55,9 @@ def export_dataset(dataset: DataFrame, path: str, name: str, max_samples: int |
         F.struct(F.lit("data/split=train").alias("train"), F.lit("data/split=test").alias("test")).alias("data_files"),
     )
     manifest.write.mode("errorifexists").json(f"{path}/manifest")
-    numbers = export.card_stats(safe, test_share)
+    whole = export.card_stats(dataset, test_share)
+    of_all = ("total_items", "excluded_items", "safe_percent")
+    numbers = export.card_stats(safe, test_share).withColumns({c: whole.select(c).scalar() for c in of_all})
     card = numbers.select(render_card(name, test_share).alias("value"))
     card.write.mode("errorifexists").text(f"{path}/card")
     return numbers

@@ -133,3 +133,12 @@ def test_chain_trains_and_evaluates(spark, chain):
     assert done.predictions.count() == n_test
     sinks.write_predictions(done.predictions, f"{out}/predictions")
     assert spark.read.json(f"{out}/predictions").count() == n_test
+
+
+def test_card_of_a_capped_export_counts_what_was_left_out(spark, tmp_path):
+    from tagmill.sources.sinks import export_dataset
+
+    rows = [(i, f"{i}.jpg", ["a"], [0.5], i == 0, False, False) for i in range(5)]
+    dataset = spark.createDataFrame(rows, "id long, image string, tags array<string>, confidences array<double>, is_nsfw boolean, is_nsfl boolean, is_nsfp boolean")
+    card = export_dataset(dataset, str(tmp_path / "out"), "x", max_samples=2).first()
+    assert (card.total_items, card.excluded_items, card.safe_percent, card.safe_items) == (5, 1, 80.0, 2)

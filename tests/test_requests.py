@@ -83,3 +83,21 @@ def test_flag_probes(spark):
     }
     bits = {r.bit: (r.works_with, r.works_without, r.fails_with) for r in requests.flag_bits(status).collect()}
     assert bits[0] == (2, 0, 1) and bits[1] == (0, 2, 1) and bits[3] == (1, 1, 0) and bits[5] == (0, 2, 1)
+
+
+def test_numbers_beyond_a_long_are_no_matches(spark):
+    from pyspark.sql import functions as F
+
+    from tagmill.functions.text import key_number_pairs
+
+    df = spark.createDataFrame([("SFW = 99999999999999999999; NSFW: 1 << 70; nsfl = 4",)], "t string")
+    row = df.select(key_number_pairs(F.col("t"), ["sfw", "nsfw", "nsfl"]).alias("p")).first()
+    assert [(p["key"], p["value"]) for p in row["p"]] == [("NSFW", 1), ("NSFL", 4)]
+
+
+def test_equal_throughputs_take_the_smallest_name(spark):
+    from tagmill.operators.requests import best_config
+
+    rows = [("b", 5.0, 0.0), ("a", 5.0, 0.0), ("c", 9.0, 0.9)]
+    summary = spark.createDataFrame(rows, "test_name string, requests_per_second double, rate_limited_share double")
+    assert tuple(best_config(summary).first()) == ("a", 5.0)
