@@ -209,26 +209,19 @@ def error_histogram(failures: DataFrame, total: Column, reason: str = "error", t
 def flag_status(probes: DataFrame) -> DataFrame:
     """Per requested flag value: status class, items returned and the item flags seen (``flag_value, status_code, item_flags``).
 
-    Seen values are kept as the bits of one long, since item flags stay below 64.
+    Equal item flags are merged before the few distinct ones are gathered; they may be of any size.
     """
     ok = F.col("status_code") == OK
     verdict = F.when(ok, 0).when(F.col("status_code") == 403, 1).otherwise(2)
-    bit = F.expr("shiftleft(1L, cast(item_flags as int))")
-    seen = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("_seen", i) == 1)
     names = F.array(F.lit("works"), F.lit("forbidden"), F.lit("fails"))
+    merged = probes.groupBy("flag_value", F.when(ok, F.col("item_flags")).cast("long").alias("_flag")).agg(
+        F.min(verdict).alias("_verdict"), F.count_if(ok).alias("_items")
+    )
+    seen = F.sort_array(F.collect_list("_flag")).cast("array<string>")
     return (
-        probes.groupBy("flag_value")
-        .agg(
-            F.min(verdict).alias("_verdict"),
-            F.count_if(ok).alias("items"),
-            F.coalesce(F.bit_or(F.when(ok, bit)), F.lit(0).cast("long")).alias("_seen"),
-        )
-        .select(
-            "flag_value",
-            F.get(names, F.col("_verdict")).alias("status"),
-            "items",
-            F.array_join(F.transform(seen, lambda i: i.cast("string")), ",").alias("flags_seen"),
-        )
+        merged.groupBy("flag_value")
+        .agg(F.min("_verdict").alias("_verdict"), F.sum("_items").alias("items"), F.array_join(seen, ",").alias("flags_seen"))
+        .select("flag_value", F.get(names, F.col("_verdict")).alias("status"), "items", "flags_seen")
     )
 
 

@@ -153,7 +153,7 @@ def has_enough(spark, sf_dir):
 
 
 def catalog_profile(spark, sf_dir):
-    return catalog.catalog_profile(_parsed(spark, sf_dir), 10)
+    return catalog.catalog_profile(tag_ops.parse_tags(fixtures.stored_items(spark, sf_dir)), 10)
 
 
 def catalog_media(spark, sf_dir):
@@ -306,8 +306,8 @@ QUERIES = {
     "has_enough": (has_enough, "SELECT CAST(1000 AS bigint) AS needed, count(*) >= 1000 AS enough FROM orders"),
     "catalog_profile": (
         catalog_profile,
-        items_sql("""SELECT 'items' AS section, 'item_count' AS name, count(*) AS value FROM parsed UNION ALL
-                     SELECT 'items', 'min_id', min(id) FROM parsed UNION ALL SELECT 'items', 'max_id', max(id) FROM parsed UNION ALL
+        items_sql("""SELECT 'items' AS section, 'item_count' AS name, count(*) AS value FROM items UNION ALL
+                     SELECT 'items', 'min_id', min(id) FROM items UNION ALL SELECT 'items', 'max_id', max(id) FROM items UNION ALL
                      SELECT * FROM (SELECT 'top_tag', t.tag, count(*) AS n FROM (SELECT unnest(tags) AS t FROM parsed) u
                                     GROUP BY t.tag ORDER BY n DESC, t.tag LIMIT 10) top"""),
     ),

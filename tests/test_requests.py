@@ -85,6 +85,12 @@ def test_flag_probes(spark):
     assert bits[0] == (2, 0, 1) and bits[1] == (0, 2, 1) and bits[3] == (1, 1, 0) and bits[5] == (0, 2, 1)
 
 
+def test_flags_of_any_size_are_reported(spark):
+    p = spark.createDataFrame([(64, 200, 64), (64, 200, 1 << 40), (64, 200, 0), (64, 200, 64), (64, 403, 2)], "flag_value long, status_code int, item_flags long")
+    row = requests.flag_status(p).first()
+    assert (row.status, row["items"], row.flags_seen) == ("works", 4, "0,64,1099511627776")
+
+
 def test_numbers_beyond_a_long_are_no_matches(spark):
     from pyspark.sql import functions as F
 
