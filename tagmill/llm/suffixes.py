@@ -9,7 +9,8 @@ suffixes would move the text many times over, so suffixes are thinned twice with
 2. Records are range-partitioned by sampled splitters on these tokens, each bucket is sorted by a multikey quicksort, and
    neighbours are compared, across bucket boundaries too. A record equal to an earlier one is a repeat as a whole. Where an
    anchor has several contexts, these are range-partitioned by the anchor once more, with their bytes, and each bucket sorts
-   and compares their strings singly, as suffixes cut at LENGTH bytes.
+   and compares their strings singly, as suffixes cut at LENGTH bytes. An anchor stays in one bucket, unless it has more than
+   PART contexts: then it is split, and what its buckets hold first is compared across their boundaries.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import discard, narrow, text_or_empty
+from tagmill.llm.common import broadcast_if_bounded, discard, narrow, text_or_empty
 from tagmill.session import cut
 
 LENGTH = 100
@@ -32,6 +33,8 @@ WIDTH = LENGTH - GRAM + 1
 PIECE = 1 << 19
 #: Records, and contexts of some thirty strings each, that a bucket of the sorts should hold.
 BUCKET, CONTEXTS = 400_000, 20_000
+#: Contexts of an anchor that are kept together; an anchor with more is dealt in parts of about this size.
+PART = 512
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -195,7 +198,8 @@ def _strings(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _single(contexts: DataFrame) -> DataFrame:
     """(doc, twin, start, n): runs of strings of the contexts that also start earlier, anchors being compared one by one.
 
-    As above, of the anchors at a bucket's ends the first place of each string is left to partial aggregation.
+    An anchor and its part lie in one bucket, which settles the anchors that have one part (0). Of the others a bucket leaves
+    the first place of each string to partial aggregation.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,14 +207,13 @@ def _single(contexts: DataFrame) -> DataFrame:
         if not parts:
             return
         df = pd.concat(parts, ignore_index=True)
-        least, most = df["h"].min(), df["h"].max()
         rows, starts, suffix = _strings(df)
         place = [_unsigned(df["doc"])[rows], _unsigned(df["twin"])[rows], starts.astype(np.uint64)]
         at = multikey_order(np.c_[tuple([suffix, *place])])
         same = np.r_[False, (suffix[at][1:] == suffix[at][:-1]).all(1)]
         lead = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
         itself = np.all([p[at] == p[lead] for p in place], axis=0)
-        open_row = ((df["h"] == least) | (df["h"] == most)).to_numpy()
+        open_row = (df["part"] > 0).to_numpy()
         late = at[same & ~itself]
         late = late[np.lexsort((starts[late], rows[late]))]
         if len(late):  # neighbouring strings of one context make a run
@@ -224,7 +227,7 @@ def _single(contexts: DataFrame) -> DataFrame:
             text = [r[:LENGTH].tobytes() for r in suffix[part].astype(">u8").view(np.uint8)]
             yield pd.DataFrame({"doc": own["doc"].to_numpy(), "twin": own["twin"].to_numpy(), "start": starts[part], "n": np.int32(1), "bytes": text})
 
-    spread = contexts.repartitionByRange(_buckets(contexts, CONTEXTS), "h", "doc", "twin", "start")
+    spread = contexts.repartitionByRange(_buckets(contexts, CONTEXTS), "h", "part")
     found = cut(spread.mapInPandas(run, f"{RECORD}, bytes binary"))
     late = _late(found.where("bytes is not null").withColumnRenamed("bytes", "k"), ["k"])[1]
     return found.where("bytes is null").select("doc", "twin", "start", "n").unionByName(late.select("doc", "twin", "start", "n"))
@@ -252,8 +255,17 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for doc, twin, text, listed in batch[["doc", "twin", "text", "runs"]].itertuples(index=False):
             raw = text.encode()
-            out += [(doc, twin, r["start"], r["n"], r["h"], raw[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in listed]
-        yield pd.DataFrame(out, columns=["doc", "twin", "start", "n", "h", "bytes"])
+            out += [(doc, twin, r["start"], r["n"], r["h"], r["part"], raw[r["start"] : r["start"] + r["n"] + LENGTH - 1]) for r in listed]
+        yield pd.DataFrame(out, columns=["doc", "twin", "start", "n", "h", "part", "bytes"])
+
+
+def _in_parts(split: DataFrame) -> DataFrame:
+    """``split`` with ``part``: 0, or for an anchor of more than PART contexts a number from 1 on, by the context's place."""
+    busy = split.groupBy("h").agg(F.count("*").alias("times")).where(F.col("times") > PART)
+    busy = cut(busy.select(F.col("h").alias("_h"), F.ceil(F.col("times") / PART).alias("parts")))
+    dealt = split.join(broadcast_if_bounded(busy, 64), F.col("h") == F.col("_h"), "left")
+    number = F.pmod(F.xxhash64("doc", "twin", "start"), F.col("parts")) + 1
+    return dealt.select(*split.columns, F.coalesce(number, F.lit(0)).cast("int").alias("part"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -261,10 +273,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     records = cut(texts.select("doc", "twin", "text").mapInPandas(_run_records, f"{RECORD}, h long, c long"))
     runs_found = cut(_compared(records))
     discard(records)
-    listed = runs_found.where("kind = 'split'").groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "n", "h")).alias("runs"))
+    split = _in_parts(runs_found.where("kind = 'split'").select("doc", "twin", "start", "n", "h"))
+    listed = split.groupBy("doc", "twin").agg(F.collect_set(F.struct("start", "n", "h", "part")).alias("runs"))
     listed = cut(listed.select(F.col("doc").alias("_doc"), F.col("twin").alias("_twin"), "runs"))
     sources = texts.join(listed, (F.col("doc") == F.col("_doc")) & (F.col("twin") == F.col("_twin")))
-    contexts = cut(sources.select("doc", "twin", "text", "runs").mapInPandas(_contexts, f"{RECORD}, h long, bytes binary"))
+    contexts = cut(sources.select("doc", "twin", "text", "runs").mapInPandas(_contexts, f"{RECORD}, h long, part int, bytes binary"))
     repeats = runs_found.where("kind = 'repeat'").select("doc", "twin", "start", "n").unionByName(_single(contexts))
     return repeats.groupBy("doc", "twin").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 

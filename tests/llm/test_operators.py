@@ -114,7 +114,9 @@ def plain_repeats(texts):
     return out
 
 
-def test_repeats_match_brute_force(spark):
+@pytest.mark.parametrize("part", [suffixes.PART, 2])
+def test_repeats_match_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(suffixes, "PART", part)  # two contexts: nearly every anchor is split
     rng = random.Random(5)
     words = ["alpha", "beta", "gamma", "delta", "eps", "é"]
     parts = [" ".join(rng.choice(words) for _ in range(rng.choice([5, 40, 90]))) for _ in range(9)]
