@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from tagmill.session import cut
 
-# Up to this many rows a plain window is used: they are counted first, and one task holds them easily.
-BOUNDED_ROWS = 1_000_000
-
 
 def running_totals(
     df: DataFrame,
@@ -24,21 +21,13 @@ def running_totals(
     sums: Mapping[str, Column],
     keys: Sequence[str] = (),
     last: Mapping[str, tuple[str, Column]] | None = None,
-    bounded: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums of non-negative values per ``keys`` in ``order_by`` order.
 
     ``last`` maps a new column to ``(running sum, condition)``: the value that sum had at the latest row so far that
-    met the condition, 0 before the first such row. (keys, order_by) should identify a row. ``bounded`` states that the
-    caller has counted the rows and found at most BOUNDED_ROWS.
+    met the condition, 0 before the first such row. (keys, order_by) should identify a row.
     """
     keys, order_by, last = list(keys), list(order_by), dict(last or {})
-    if bounded:
-        frame = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        local = df.withColumns({name: F.sum(expr).over(frame) for name, expr in sums.items()})
-        return local.withColumns(
-            {n: F.coalesce(F.max(F.when(cond, F.col(of))).over(frame), F.lit(0)) for n, (of, cond) in last.items()}
-        )
     tagged = df.repartitionByRange(*keys, *order_by).withColumn("_part", F.spark_partition_id())
     frame = (
         Window.partitionBy("_part", *keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,15 +60,9 @@ def running_totals(
     return joined.select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in out.items()])
 
 
-def is_small(materialised: DataFrame) -> bool:
-    """Whether a written table has at most BOUNDED_ROWS rows (answered from the file footers)."""
-    return materialised.count() <= BOUNDED_ROWS
-
-
 def positions(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (), name: str = "position") -> DataFrame:
     """Add the 0-based position in ``order_by`` order, per ``keys`` or over the whole table."""
-    rows = cut(df)
-    out = running_totals(rows, order_by, {name: F.lit(1).cast("long")}, keys, bounded=is_small(rows))
+    out = running_totals(df, order_by, {name: F.lit(1).cast("long")}, keys)
     return out.withColumn(name, F.col(name) - 1)
 
 
@@ -102,13 +85,7 @@ def order_statistics(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count("*").alias("_n"))
     )
-    small = is_small(counts)
-    if small and linear and not indexed:
-        # The built-in aggregate keeps every distinct value in memory, which the count has just allowed.
-        marks = F.percentile("_v", F.array(*[F.lit(float(q)) for q in linear.values()]), F.col("_n")).alias("_q")
-        picked = counts.groupBy(*keys).agg(marks)
-        return picked.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(linear)])
-    ranked = running_totals(counts, ["_v"], {"_cum": F.col("_n")}, keys, bounded=small)
+    ranked = running_totals(counts, ["_v"], {"_cum": F.col("_n")}, keys)
     if keys:
         sizes = counts.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.sum("_n").alias("_total"))
         on = F.lit(True)
@@ -140,8 +117,8 @@ def order_statistics(
 
 def smallest(df: DataFrame, n: int, order_by: str, tie_break: str) -> DataFrame:
     """Exactly the ``n`` rows with the smallest ``order_by`` (then ``tie_break``), without gathering them in one task."""
-    counts = cut(df.groupBy(F.col(order_by).alias("_o")).agg(F.count("*").alias("_n")))
-    cum = running_totals(counts, ["_o"], {"_cum": F.col("_n")}, bounded=is_small(counts))
+    counts = df.groupBy(F.col(order_by).alias("_o")).agg(F.count("*").alias("_n"))
+    cum = running_totals(counts, ["_o"], {"_cum": F.col("_n")})
     # The value at which the running count first reaches n, and how many rows of that value still fit.
     edge = cum.where(F.col("_cum") >= n).agg(F.min_by(F.struct("_o", (n - (F.col("_cum") - F.col("_n"))).alias("room")), "_cum"))
     bound = edge.scalar()

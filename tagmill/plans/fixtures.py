@@ -94,9 +94,9 @@ UNION ALL SELECT o_orderkey + 10000000, o_totalprice, CAST(2 AS bigint), CAST(3
 
 RATED = """
 SELECT d.doc_id AS id, d.source || '/' || CAST(d.doc_id AS string) || '.png' AS image,
-       l.toxic = 1 AS is_nsfw, l.quality = 0 AS is_nsfl, d.n_chars > 8000 AS is_nsfp, d.lang, d.source, d.text,
+       coalesce(l.toxic = 1, false) AS is_nsfw, coalesce(l.quality = 0, false) AS is_nsfl, d.n_chars > 8000 AS is_nsfp, d.lang, d.source, d.text,
        CAST(d.n_chars AS double) / 20000 AS weight
-FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """
 
 KEY_TEXT = """

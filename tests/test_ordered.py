@@ -16,8 +16,7 @@ def frame(spark):
     return rows, spark.createDataFrame(rows, "k string, o long, i long, x long")
 
 
-@pytest.mark.parametrize("bounded", [False, True])
-def test_running_totals_match_pandas(frame, bounded):
+def test_running_totals_match_pandas(frame):
     rows, df = frame
     out = ordered.running_totals(
         df,
@@ -25,7 +24,6 @@ def test_running_totals_match_pandas(frame, bounded):
         {"n": F.lit(1).cast("long"), "s": F.col("x")},
         ["k"],
         last={"at": ("n", F.col("x") == 1)},
-        bounded=bounded,
     )
     pdf = pd.DataFrame(rows, columns=["k", "o", "i", "x"]).fillna("none").sort_values(["k", "o", "i"])
     pdf["n"] = pdf.groupby("k").cumcount() + 1
@@ -41,10 +39,14 @@ def test_positions_over_the_whole_table(spark):
     assert {(r.v, r.position) for r in ordered.positions(df, ["v"]).collect()} == {(i, i) for i in range(1000)}
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_order_statistics_match_numpy(frame, monkeypatch, limit):
-    """With and without the path for counted small inputs."""
-    monkeypatch.setattr(ordered, "BOUNDED_ROWS", limit)
+@pytest.mark.parametrize("distinct", [False, True])
+def test_order_statistics_of_one_hot_or_all_distinct_values(spark, distinct):
+    rows = [(float(i) if distinct else float(i % 3 == 0 and i),) for i in range(900)]
+    got = ordered.order_statistics(spark.createDataFrame(rows, "v double"), "v", {"p10": 0.1, "p50": 0.5, "p97": 0.97}).first()
+    assert list(got) == pytest.approx(list(np.quantile([v for v, in rows], [0.1, 0.5, 0.97])))
+
+
+def test_order_statistics_match_numpy(frame):
     rows, df = frame
     got = ordered.order_statistics(df, "o", {"p25": 0.25, "p50": 0.5, "p99": 0.99}, {"i95": 0.95}, ["k"]).collect()
     assert len(got) == 4
