@@ -46,18 +46,20 @@ class Evaluated:
     metrics: DataFrame
 
 
-def train_and_evaluate(dataset: DataFrame, features: DataFrame, classes: int = 100, test_share: float = 0.2, k: int = 5) -> Evaluated:
-    """Split by id, fit the ``classes`` most frequent tags, score the test part, measure it on the model's vocabulary.
+def train_and_evaluate(dataset: DataFrame, features: DataFrame, classes: int | None = None, test_share: float = 0.2, k: int = 5) -> Evaluated:
+    """Split by id, fit all tags of the training part, score the test part, measure it on the model's vocabulary.
 
-    ``features``: ``sample_id, features`` for every dataset id. Fitting runs one distributed job per class; the number
-    of classes is the model's size and is chosen by the caller.
+    ``features``: ``sample_id, features`` for every dataset id. ``classes`` asks for a smaller model of the most frequent
+    tags only. Fitting runs one distributed job per class.
     """
     if dataset.select("id").limit(2).count() < 2:
         raise ValueError("too few items to split")
     split = export.with_split(dataset, test_share)
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    frequent = labels.long_tags(train).groupBy("tag").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "tag").limit(classes)
-    vocab = cut(labels.vocabulary(frequent.select("tag")))
+    known = labels.long_tags(train).select("tag")
+    if classes is not None:
+        known = known.groupBy("tag").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "tag").limit(classes).select("tag")
+    vocab = cut(labels.vocabulary(known))
 
     def encoded(part: DataFrame) -> DataFrame:
         return labels.encode_labels(labels.long_tags(part), vocab).withColumnRenamed("id", "sample_id")

@@ -125,8 +125,10 @@ def test_chain_trains_and_evaluates(spark, chain):
     prepared, out = chain
     dataset = tables.read_dataset(spark, f"{out}/dataset")
     features = dataset.select(F.col("id").alias("sample_id"), F.array((F.col("id") % 3).cast("double"), F.size("tags").cast("double")).alias("features"))
-    done = workflow.train_and_evaluate(dataset, features, classes=4, test_share=0.3, k=2)
-    assert done.vocabulary.count() == done.weights.count() == 4
+    train = export.with_split(dataset, 0.3).where("split = 'train'")
+    n_tags = train.select(F.explode("tags").alias("t")).distinct().count()
+    done = workflow.train_and_evaluate(dataset, features, test_share=0.3, k=2)
+    assert done.vocabulary.count() == done.weights.count() == n_tags
     row = done.metrics.first()
     assert all(0 <= v <= 1 for v in row)
     n_test = export.with_split(dataset, 0.3).where("split = 'test'").count()
