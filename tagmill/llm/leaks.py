@@ -1,17 +1,19 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame and SQL functions only.
 
-Numbers, names and units become typed placeholders; windows of five template words are hash-joined with those of the benchmark;
-and what fills the slots must map one to one between an item and its occurrence, which tells a question with new parameters from
-a chance likeness.
+Numbers, names and units become typed placeholders; windows of five template words, and of five words as they stand, are hash-joined
+with those of the benchmark; and what fills the slots must map one to one between an item and its occurrence, which tells a question
+with new parameters from a chance likeness. Letter case decides about names only: words as they stand are compared in lower case, so
+a copy in other case or layout is found by them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.llm.common import broadcast_if_bounded, narrow
 from tagmill.operators.once import compute_once
+from tagmill.session import cut
 
 WINDOW = 5
 SIMILARITY = 0.8
@@ -20,6 +22,8 @@ PLAIN_WORDS = 3
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 
 _NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
+#: White space that counts as one blank before names and units are marked.
+_SPACES = r"[\s\u00A0\u2028\u2029]+"
 _LETTERS = r"[\p{L}\p{M}]"
 #: A capitalised word inside a sentence: it follows a small letter, comma or similar, and one blank.
 _NAME = rf"(?<=[\p{{Ll}},;:] )\p{{Lu}}{_LETTERS}+"
@@ -29,10 +33,10 @@ _UNIT = rf"(?<={NUMBER} ?)(?:{'|'.join(sorted(_UNITS, key=lambda u: (-len(u), u)
 
 def _templates(text: Column) -> Column:
     """Template words: lower-case words, with one placeholder for each number, name and unit."""
-    cut = F.regexp_replace(text, _NUMBER, NUMBER)
-    cut = F.regexp_replace(cut, _NAME, NAME)
-    cut = F.when(F.contains(cut, F.lit(NUMBER)), F.regexp_replace(cut, _UNIT, UNIT)).otherwise(cut)
-    return F.regexp_extract_all(F.lower(cut), F.lit(f"([{NUMBER}{NAME}{UNIT}]|{_LETTERS}+)"), F.lit(1))
+    marked = F.regexp_replace(F.regexp_replace(text, _SPACES, " "), _NUMBER, NUMBER)
+    marked = F.regexp_replace(marked, _NAME, NAME)
+    marked = F.when(F.contains(marked, F.lit(NUMBER)), F.regexp_replace(marked, _UNIT, UNIT)).otherwise(marked)
+    return F.regexp_extract_all(F.lower(marked), F.lit(f"([{NUMBER}{NAME}{UNIT}]|{_LETTERS}+)"), F.lit(1))
 
 
 def _raw_words(text: Column) -> Column:
@@ -50,67 +54,97 @@ def _prepared(rows: DataFrame, key: str, text_col: str, name: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = narrow(rows, key, text_col).select(F.col(key).alias(name), text.alias("body"))
     words = compute_once(base, tpl=_templates(F.col("body")), raw=_raw_words(F.col("body"))).drop("body")
-    return compute_once(words, hashes=_hashes("tpl"))
+    return compute_once(words, hashes=_hashes("tpl"), raw_hashes=_hashes("raw"))
 
 
-def _item_windows(items: DataFrame, key: str, text_col: str) -> DataFrame:
-    """One row for each window of an item, and for its first window also with a name in the first place: mid-sentence, the first
-    word of a passage looks like one."""
+def _items(items: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(item_id, variant, itpl, iraw, hashes, raw_hashes) of each item that has a window; different texts of an id are variants."""
     rows = _prepared(items.where(F.col(key).isNotNull()).dropDuplicates([key, text_col]), key, text_col, "item_id")
-    windows = rows.select("item_id", F.size("hashes").alias("n_windows"), "tpl", "raw", F.posexplode("hashes").alias("ipos", "h"))
-    cut = lambda c: F.slice(c, F.col("ipos") + 1, WINDOW)
-    windows = windows.select("item_id", "n_windows", "ipos", "h", cut("tpl").alias("itpl"), cut("raw").alias("iraw"))
-    named = F.concat(F.array(F.lit(NAME)), F.slice("itpl", 2, WINDOW - 1))
-    first = windows.where("ipos = 0").select("item_id", "n_windows", "ipos", F.xxhash64(*[named[j] for j in range(WINDOW)]).alias("h"), named.alias("itpl"), "iraw")
-    both = windows.unionByName(first.where(F.expr("itpl[0]") != "")).dropDuplicates(["item_id", "ipos", "h"])
-    placeholders = F.size(F.filter("itpl", lambda w: w.isin(NUMBER, NAME, UNIT)))
-    return both.where(placeholders <= WINDOW - PLAIN_WORDS)
+    return rows.where(F.size("hashes") > 0).select("item_id", F.xxhash64("raw").alias("variant"), F.col("tpl").alias("itpl"), F.col("raw").alias("iraw"), "hashes", "raw_hashes").dropDuplicates(["item_id", "variant"])
+
+
+def _anchors(items: DataFrame) -> DataFrame:
+    """(item_id, variant, n_words, ipos, h): what is looked up of an item.
+
+    All its raw windows; its template windows of enough plain words, or those of the most plain words if none has enough; and its
+    first window also with a name in the first place: mid-sentence, the first word of a passage looks like one.
+    """
+    windows = items.select("item_id", "variant", F.size("itpl").alias("n_words"), "itpl", F.posexplode(F.arrays_zip("hashes", "raw_hashes")).alias("ipos", "z"))
+    windows = windows.select("item_id", "variant", "n_words", "ipos", F.slice("itpl", F.col("ipos") + 1, WINDOW).alias("w"), F.col("z.hashes").alias("h"), F.col("z.raw_hashes").alias("raw_h"))
+    raw = windows.select("item_id", "variant", "n_words", "ipos", F.col("raw_h").alias("h"))
+    named = F.concat(F.array(F.lit(NAME)), F.slice("w", 2, WINDOW - 1))
+    first = windows.where("ipos = 0").select("item_id", "variant", "n_words", "ipos", named.alias("w"))
+    first = first.select("item_id", "variant", "n_words", "ipos", "w", F.xxhash64(*[F.col("w")[j] for j in range(WINDOW)]).alias("h"))
+    tpl = windows.drop("raw_h").unionByName(first)
+    tpl = tpl.withColumn("plain", F.lit(WINDOW) - F.size(F.filter("w", lambda x: x.isin(NUMBER, NAME, UNIT))))
+    most = tpl.groupBy("item_id", "variant").agg(F.least(F.max("plain"), F.lit(PLAIN_WORDS)).alias("least"))
+    tpl = tpl.join(most, ["item_id", "variant"]).where("plain >= least").select("item_id", "variant", "n_words", "ipos", "h")
+    return raw.unionByName(tpl).dropDuplicates(["item_id", "variant", "ipos", "h"])
 
 
 def find(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and benchmark item that it holds: ids, n_windows of the item, n_matched, similarity, n_slots
     and n_changed of them, and kind ('verbatim', or 'reparameterised' where a slot is filled anew).
 
-    An item is held where at least ``similarity`` of its windows that can be looked up occur in alignments whose slots are
-    consistent: equal fillings correspond to equal fillings, both ways. Null texts are empty, null ids are ignored; items with
-    fewer than five words, or of placeholders mostly, are never found. Repeated rows change nothing. Extra columns are ignored.
-    The benchmark's windows are broadcast if their counted size is bounded, else the planner shuffles both sides.
+    Windows that are looked up give the alignments; in each, every window of the item counts whose words agree as templates or as they
+    stand. Slots whose filling disagrees with the fillings of most other slots (equal ones must correspond to equal ones, both ways)
+    take their windows out, verbatim windows excepted. An item is held where at least ``similarity`` of its windows remain. Null texts
+    are empty, null ids are ignored; items with fewer than five words are never found. Repeated rows change nothing. Extra columns
+    are ignored. The benchmark is broadcast if its counted size is bounded, else the planner shuffles both sides.
     """
-    wanted = _item_windows(items, item_col, item_text_col)
-    wanted = broadcast_if_bounded(wanted, 512)
+    known = cut(_items(items, item_col, item_text_col))
+    wanted = broadcast_if_bounded(_anchors(known), 128)
     pages = _prepared(docs.where(F.col(id_col).isNotNull()), id_col, text_col, "doc_id")
-    windows = pages.select("doc_id", "raw", F.posexplode("hashes").alias("pos", "h"))
-    hits = windows.join(wanted, "h").select(
-        "doc_id", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "itpl", "iraw", F.slice("raw", F.col("pos") + 1, WINDOW).alias("draw")
-    )
-    # Slots of a window: (place in the item, filling in the item, filling in the document).
-    slots = F.expr(f"""filter(transform(sequence(0, {WINDOW - 1}), j -> if(itpl[j] in ('{NUMBER}', '{NAME}', '{UNIT}'),
-                       named_struct('at', ipos + j, 'i', iraw[j], 'd', draw[j]), null)), s -> s is not null)""")
-    aligned = hits.select("doc_id", "item_id", "n_windows", "shift", "ipos", slots.alias("slots"))
-    aligned = aligned.groupBy("doc_id", "item_id", "shift").agg(
-        F.max("n_windows").alias("n_windows"), F.collect_set("ipos").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
-    )
-    pair = "transform(slots, s -> named_struct('i', s.i, 'd', s.d))"
-    consistent = F.expr(
-        f"size(array_distinct({pair})) = size(array_distinct(transform(slots, s -> s.i))) and size(array_distinct({pair})) = size(array_distinct(transform(slots, s -> s.d)))"
+    # Each place's template window, and its raw window where that is another one.
+    places = F.expr("filter(concat(transform(hashes, (h, i) -> struct(i as pos, h as h)), transform(raw_hashes, (h, i) -> if(h = hashes[i], null, struct(i as pos, h as h)))), x -> x is not null)")
+    pages = compute_once(pages, copy=F.xxhash64("raw"), places=places)  # rows that share an id are aligned by themselves
+    windows = pages.select("doc_id", "copy", "tpl", "raw", F.explode("places").alias("x")).select("doc_id", "copy", "tpl", "raw", F.col("x.pos").alias("pos"), F.col("x.h").alias("h"))
+    # The document's words beside the item's, from its first to its last; null where the document has not begun yet or is over.
+    beside = lambda c: f"transform(sequence(0, n_words - 1), j -> if(pos - ipos + j < 0, null, get({c}, pos - ipos + j)))"
+    hits = windows.join(wanted, "h").select("doc_id", "copy", "item_id", "variant", (F.col("pos") - F.col("ipos")).alias("shift"), F.expr(beside("tpl")).alias("dtpl"), F.expr(beside("raw")).alias("draw"))
+    aligned = hits.groupBy("doc_id", "copy", "item_id", "variant", "shift").agg(F.first("dtpl").alias("dtpl"), F.first("draw").alias("draw"))
+    aligned = aligned.join(broadcast_if_bounded(known.select("item_id", "variant", "itpl", "iraw"), 2048), ["item_id", "variant"])
+
+    typed = f"dtpl[j] in ('{NUMBER}', '{NAME}', '{UNIT}')"
+    within = lambda rule: F.expr(f"filter(sequence(0, size(itpl) - {WINDOW}), p -> {' and '.join(f'{rule}[p + {k}]' for k in range(WINDOW))})")
+    each = "transform(sequence(0, size(itpl) - 1), j -> "
+    aligned = compute_once(
+        aligned,
+        same=F.expr(f"{each} coalesce(iraw[j] = draw[j], false))"),
+        fits=F.expr(f"{each} coalesce(iraw[j] = draw[j] or itpl[j] = dtpl[j] or (j = 0 and dtpl[j] = '{NAME}'), false))"),
+        slot=F.expr(f"{each} coalesce({typed} and (itpl[j] = dtpl[j] or (j = 0 and dtpl[j] = '{NAME}')), false))"),
     )
-    known = wanted.groupBy("item_id").agg(F.countDistinct("ipos").alias("n_known")).withColumnRenamed("item_id", "known_item")
-    held = aligned.where(consistent).groupBy("doc_id", "item_id").agg(
-        F.max("n_windows").cast("long").alias("n_windows"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
+    aligned = compute_once(aligned, verbatim=within("same"), matching=within("fits"))
+    # Slots are counted once a place, in windows that match.
+    slots = F.expr(f"filter({each} if(slot[j] and exists(matching, p -> j between p and p + {WINDOW - 1}), named_struct('at', j, 'i', iraw[j], 'd', draw[j]), null)), s -> s is not null)")
+    aligned = compute_once(aligned, slots=slots)
+    aligned = compute_once(aligned, fillings=F.expr("transform(slots, s -> named_struct('i', s.i, 'd', s.d))"))
+    ranked = "reverse(array_sort(transform(array_distinct(fillings), (f, k) -> named_struct('n', size(filter(fillings, g -> g = f)), 'same', f.i = f.d, 'k', -k, 'i', f.i, 'd', f.d))))"
+    aligned = compute_once(aligned, ranked=F.expr(ranked))
+    agreed = F.expr("aggregate(ranked, filter(ranked, r -> false), (acc, r) -> if(exists(acc, a -> a.i = r.i or a.d = r.d), acc, array_append(acc, r)))")
+    aligned = compute_once(aligned, agreed=agreed)
+    aligned = compute_once(aligned, minority=F.expr("transform(filter(slots, s -> not exists(agreed, a -> a.i = s.i and a.d = s.d)), s -> s.at)"))
+    left = F.expr(f"filter(matching, p -> array_contains(verbatim, p) or not exists(minority, m -> m between p and p + {WINDOW - 1}))")
+    aligned = compute_once(aligned, left=left)
+    aligned = aligned.withColumn("slots", F.expr(f"filter(slots, s -> exists(left, p -> s.at between p and p + {WINDOW - 1}))"))
+
+    held = aligned.groupBy("doc_id", "item_id", "variant").agg(
+        F.max(F.size("itpl") - WINDOW + 1).cast("long").alias("n_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("left")))).cast("long").alias("n_matched"),
         F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
     )
-    held = held.join(known, F.col("item_id") == F.col("known_item")).withColumn("similarity", F.col("n_matched") / F.col("n_known"))
+    held = held.withColumn("similarity", F.col("n_matched") / F.col("n_windows")).where(F.col("similarity") >= similarity)
     changed = F.size(F.filter("slots", lambda s: s["i"] != s["d"])).cast("long")
-    return held.where(F.col("similarity") >= similarity).select(
+    held = held.withColumn("n_changed", changed).withColumn("best", F.row_number().over(Window.partitionBy("doc_id", "item_id").orderBy(F.desc("similarity"), F.desc("n_matched"), "n_changed", "variant")))
+    return held.where("best = 1").select(
         F.col("doc_id").alias(id_col),
         F.col("item_id").alias(item_col),
         "n_windows",
         "n_matched",
         "similarity",
         F.size("slots").cast("long").alias("n_slots"),
-        changed.alias("n_changed"),
-        F.when(changed > 0, "reparameterised").otherwise("verbatim").alias("kind"),
+        "n_changed",
+        F.when(F.col("n_changed") > 0, "reparameterised").otherwise("verbatim").alias("kind"),
     )
 
 

@@ -359,3 +359,28 @@ def test_mixing_meets_targets_and_odd_rows(spark):
     assert all(0 <= r["p"] <= 1 for r in table)
     assert sum(r["p"] * r["tokens"] for r in table) == pytest.approx(0.5 * sum(r["tokens"] for r in table), rel=0.02)
     assert mixing.sample(docs.where("false")).count() == 0
+
+
+LONG = "In the yard stand 3 carts and 4 barrels beside the old stone wall while the keeper of the gate writes a short report about the weather and the state of the road for the council of the town"
+HEAVY = "Convert 12 km 300 m and 5 kg 20 g"
+NAMES = "On most days when Anna meets Bertha near the bridge they walk with Carla towards the market square"
+
+
+def test_leaks_of_one_changed_number_and_of_numbers_become_equal(spark):
+    equal = LONG.replace("3 carts", "5 carts").replace("4 barrels", "5 barrels")
+    once = LONG.replace("4 barrels", "3 barrels") + " with 3 lamps"
+    texts = [(1, equal), (2, once.replace("3 lamps", "9 lamps")), (3, LONG)]
+    items = spark.createDataFrame([(1, LONG), (2, once)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in leaks.find(documents(spark, texts), items).collect()}
+    assert {(1, 1), (2, 2), (3, 1)} <= set(found)
+    assert found[3, 1]["similarity"] == 1.0 and found[3, 1]["kind"] == "verbatim"
+    assert 0.8 <= found[1, 1]["similarity"] < 1 and found[2, 2]["n_matched"] < found[2, 2]["n_windows"]
+
+
+def test_leaks_of_placeholder_heavy_items_and_other_case_or_layout(spark):
+    texts = [(1, f"please: {HEAVY} now"), (2, HEAVY.replace("12", "14").replace("300", "250")), (3, NAMES.lower()), (4, NAMES.upper()), (5, NAMES.replace(" ", "\n")), (6, "1 km 2 m and then 3 kg or 4 g")]
+    items = spark.createDataFrame([(1, HEAVY), (2, NAMES)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r for r in leaks.find(documents(spark, texts), items).collect()}
+    assert set(found) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2)}
+    assert all(r["similarity"] == 1.0 for r in found.values())
+    assert {k: r["kind"] for k, r in found.items()} == {k: "reparameterised" if k == (2, 1) else "verbatim" for k in found}
