@@ -1,8 +1,8 @@
 """Licence scan by a positional index of rare template words, with DataFrame and SQL functions only.
 
-Each template is indexed by its rarest words (inverse document frequency over all documents). A file's own rarest indexed words
-are looked up; a template and an offset stay where the postings of these words agree on the offset; and a hit counts once the
-template's mandatory phrase stands at its place.
+Each template is indexed by its rarest words (inverse document frequency over all documents). All indexed words
+of a file are looked up; a template and an offset stay where the postings of these words agree on the offset; and a hit counts once
+the template's mandatory phrase stands at its place.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Index words of a template, and words of a file that are looked up.
-INDEXED, LOOKED_UP = 4, 6
+#: Index words of a template.
+INDEXED = 4
 
 
 @dataclass(frozen=True)
@@ -104,7 +104,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     vocabulary = sorted({w for t in TEMPLATES for w in t.words})
     counts, _ = document_frequencies(words, vocabulary)
     index = index_words(counts)
-    indexed = sorted({w for entries in index for w, _ in entries}, key=lambda w: (counts.get(w, 0), w))  # rarest first
+    indexed = sorted({w for entries in index for w, _ in entries}, key=lambda w: (counts.get(w, 0), w))
     starts = sorted({p.split()[0] for p in PHRASES})
 
     postings = {w: [(t, i) for t, entries in enumerate(index) for x, i in entries if x == w] for w in indexed}
@@ -115,23 +115,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "when " + " and ".join(f"get(words, i + {j}) = '{w}'" if j else f"words[i] = '{w}'" for j, w in enumerate(p.split())) + f" then '{label}'" for p, label in PHRASES.items()
     )
 
-    # array_intersect keeps the order of its first argument: the file's indexed words, rarest first.
-    found = words.select("id", "words", F.array_intersect(literals(indexed), "words").alias("known"), F.arrays_overlap("words", literals(starts)).alias("may_have_base"))
+    found = words.select("id", "words", F.arrays_overlap("words", literals(indexed)).alias("may_have_more"), F.arrays_overlap("words", literals(starts)).alias("may_have_base"))
     found = found.select(
         "id",
         "words",
         F.expr(f"if(may_have_base, filter(transform(sequence(0, size(words) - 1), i -> named_struct('at', i, 'label', case {phrase_at} end)), x -> x.label is not null), null)").alias("base"),
-        F.slice("known", 1, LOOKED_UP).alias("top"),
+        "may_have_more",
     )
-    # Where each looked-up word stands, as (template, offset) votes; a pair is a candidate when two different words agree on it.
-    found = found.withColumn(
-        "agreed",
-        F.expr(f"""if(size(top) = 0, null, transform(filter(transform(sequence(0, size(words) - 1), i -> named_struct('w', words[i], 'i', i)), x -> array_contains(top, x.w)),
-                   x -> transform(element_at(map({listed}), x.w), y -> named_struct('t', y.t, 'o', x.i - y.p, 'w', x.w))))"""),
-    ).withColumn("votes", F.expr("array_distinct(flatten(agreed))"))
-    found = found.withColumn(
-        "aligned",
-        F.expr("filter(array_distinct(transform(votes, v -> named_struct('t', v.t, 'o', v.o))), c -> size(filter(votes, v -> v.t = c.t and v.o = c.o)) >= 2)"),
+    # Where each indexed word stands, as (template, offset) votes; a pair is a candidate when two different words agree on it. Sorted,
+    # votes for one pair lie side by side.
+    found = compute_once(
+        found,
+        votes=F.expr(f"""if(may_have_more, array_sort(array_distinct(flatten(transform(filter(transform(sequence(0, size(words) - 1), i -> named_struct('w', words[i], 'i', i)), x -> x.w in ({', '.join(f"'{w}'" for w in indexed)})),
+                   x -> transform(element_at(map({listed}), x.w), y -> named_struct('t', y.t, 'o', x.i - y.p, 'w', x.w)))))), null)"""),
+    )
+    found = compute_once(
+        found,
+        aligned=F.expr("array_distinct(transform(filter(votes, (v, k) -> k > 0 and v.t = votes[k - 1].t and v.o = votes[k - 1].o), v -> named_struct('t', v.t, 'o', v.o)))"),
     )
     verified = f"""transform(filter(transform(aligned, c -> named_struct('o', c.o, 'm', element_at(array({templates}), c.t + 1))),
                    c -> c.o + c.m.at >= 0 and slice(words, c.o + c.m.at + 1, size(c.m.phrase)) = c.m.phrase),

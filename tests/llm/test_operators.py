@@ -384,3 +384,11 @@ def test_leaks_of_placeholder_heavy_items_and_other_case_or_layout(spark):
     assert set(found) == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 2)}
     assert all(r["similarity"] == 1.0 for r in found.values())
     assert {k: r["kind"] for k, r in found.items()} == {k: "reparameterised" if k == (2, 1) else "verbatim" for k in found}
+
+
+def test_licence_scan_finds_every_notice_of_a_file(spark):
+    wanted = [t for t in licenses.TEMPLATES if t.label in ("lgpl", "bsd", "isc", "mpl", "unlicense", "cc0", "cc-by-nc", "agpl")]
+    prose = "The compliance office took charge of each person who wrote about mozilla and the affero foundation, lesser commons and binary forms. "
+    texts = [(1, ".\n".join(t.text for t in wanted)), (2, prose * 50 + "Subject to the terms of the Mozilla Public License"), (3, prose)]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(documents(spark, texts)).collect()}
+    assert set(found[1].split(",")) >= {t.label for t in wanted} and found[2] == "mpl" and found[3] == ""
