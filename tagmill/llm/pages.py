@@ -36,8 +36,10 @@ _BLOCKS = set(
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = set("nav header footer aside form button dialog menu head fieldset".split())
 _BODY = {"article", "main"}
+#: Whole tokens of class and id. Parts of hyphenated names say little: 'has-sidebar' and 'entry-header' name wrappers and titles.
 _DROPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|side-?bar|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|related|comments?|replies|respond|disqus|search|login|signup|pagination|skip)(?:$|[\s_-])",
+    r"(?:^|\s)(?:(?:ads?|advert\w*|sponsor(?:s|ed)?|promo(?:s|tions?)?|banner|nav|navbar|navigation|menu|breadcrumbs?|masthead|side-?bar|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social|related|comments?|replies|respond|disqus|search|login|signup|pagination|skip)"
+    r"|(?:site|page|main|top|primary|secondary|global)-(?:header|footer|nav|navigation|menu|sidebar|banner)|header|footer|ad-(?:banner|box|slot|unit|container)|nav-?(?:menu|links?|list)|(?:cookie|consent)-(?:banner|bar|notice|popup)|(?:share|social)-(?:bar|buttons?|links?)|related-(?:posts|articles|links)|comments?-(?:list|area|section|form)|skip-link)(?=$|\s)",
     re.I,
 )
 _DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "alertdialog"}
@@ -50,13 +52,19 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
     page = page or ""
     out: list[tuple[str, int]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []
-    state, last = FREE, 0
+    stack: list[tuple[str, int, int]] = []
+    # Elements dropped by class or id outside articles: the one around each, and whether an article lies inside, which clears it.
+    named_in: list[int] = []
+    cleared: list[bool] = []
+    inside: list[tuple[int, int]] = []  # (line, innermost such element)
+    state, last, soft = FREE, 0, -1
 
     def flush() -> None:
         if held:
             line = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if line:
+                if soft >= 0 and state == DROP:
+                    inside.append((len(out), soft))
                 out.append((line, state))
             held.clear()
 
@@ -72,9 +80,9 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         if m.group(2):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    if any(n in _BLOCKS for n, _ in stack[i:]) and name not in _BLOCKS:
+                    if any(n in _BLOCKS for n, _, _ in stack[i:]) and name not in _BLOCKS:
                         break  # an inline end tag does not close a block
-                    state = stack[i][1]
+                    state, soft = stack[i][1:]
                     del stack[i:]
                     break
         elif name not in _VOID and not m.group(4).endswith("/"):
@@ -82,22 +90,37 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
                 shut = _CLOSES.get(name, {"p"})
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in shut:
-                        state = stack[i][1]
+                        state, soft = stack[i][1:]
                         del stack[i:]
                         break
                     if stack[i][0] in _BLOCKS:
                         break
-            stack.append((name, state))
-            if state != DROP:
+            in_article = any(n == "article" for n, _, _ in stack)
+            stack.append((name, state, soft))
+            if state != DROP or soft >= 0:
                 marks = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(m.group(4))} if "=" in m.group(4) else {}
+                role = marks.get("role", "").lower()
                 named = name not in ("html", "body") and any(_DROPPED_NAMES.search(marks.get(k, "")) for k in ("class", "id"))
-                if marks.get("role", "").lower() in _DROPPED_ROLES or named or (name in _DROPPED and not (name == "header" and state == KEEP)):
-                    state = DROP
-                elif name in _BODY or marks.get("role", "").lower() in _BODY:
+                body = name in _BODY or role in _BODY
+                if role in _DROPPED_ROLES or (name in _DROPPED and not (name == "header" and state == KEEP)) or (named and (in_article or body)):
+                    state, soft = DROP, -1  # comments are articles in an article
+                elif named:
+                    named_in.append(soft)
+                    cleared.append(False)
+                    state, soft = DROP, len(named_in) - 1
+                elif body:
+                    while soft >= 0:
+                        cleared[soft] = True
+                        soft = named_in[soft]
                     state = KEEP
     if last < len(page):
         held.append(page[last:])
     flush()
+    for at, k in inside:
+        while k >= 0 and cleared[k]:
+            k = named_in[k]
+        if k < 0:
+            out[at] = (out[at][0], FREE)
     return out
 
 

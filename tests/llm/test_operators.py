@@ -392,3 +392,11 @@ def test_licence_scan_finds_every_notice_of_a_file(spark):
     texts = [(1, ".\n".join(t.text for t in wanted)), (2, prose * 50 + "Subject to the terms of the Mozilla Public License"), (3, prose)]
     found = {r["doc_id"]: r["labels"] for r in licenses.scan(documents(spark, texts)).collect()}
     assert set(found[1].split(",")) >= {t.label for t in wanted} and found[2] == "mpl" and found[3] == ""
+
+
+def test_page_wrappers_named_like_menus_keep_their_article():
+    article = "<article><header class='entry-header'><h1>T</h1></header><p>text</p><div class='comments'><article>reply</article></div></article>"
+    for name in ("layout has-sidebar", "no-sidebar content", "content-with-menu", "navbar-fixed page", "sidebar", "menu page"):
+        page = f"<body><div class='{name}'><p>aside</p><div class='ad'>buy</div>{article}</div><div class='sidebar'>side</div></body>"
+        assert [(t, s) for t, s in pages.lines_of(page) if s != pages.DROP] == [("aside", pages.FREE), ("T", pages.KEEP), ("text", pages.KEEP)], name
+    assert pages.lines_of("<div class='site-header'>x</div><div id='cookie-banner'>y</div>") == [("x", pages.DROP), ("y", pages.DROP)]
