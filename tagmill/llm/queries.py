@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagmill.llm import leaks, licenses, mixing, neighbours, pages, pii, quality, simhash, suffixes, tokens
+from tagmill.llm import leaks, licenses, mixing, negatives, neighbours, pages, pii, quality, ranking, simhash, suffixes, tokens, toxicity
 from tagmill.llm.common import table
 
 
@@ -54,6 +54,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), F.col("toxic").alias("predicted"), "n_hits", "n_misspelled", "n_quoted")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_page_text": op1_page_text,
     "op2_decontamination": op2_decontamination,
@@ -65,6 +81,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
+    "op11_toxicity": op11_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mixing": mixing.oracle_sql(),
+    "op12_hard_negatives": negatives.oracle_sql(),
+    "op13_lexical_search": ranking.oracle_sql(),
+}
