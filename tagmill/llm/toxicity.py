@@ -49,12 +49,12 @@ REPORTING = frozenset("said says say called calls wrote writes quote quoted quot
 ADDRESSING = frozenset("you your youre you're ur u du dich dir dein deine bist ihr euch tu te toi ton ta vous votre tú ti eres vosotros usted".split())
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
-_TOKENS = re.compile(r"[^\W_](?:[@$'’]*[^\W_])*|[\"“”„«»]")
+_TOKENS = re.compile(r"[^\W_]+(?:[@$'’]+[^\W_]+)*|[\"“”„«»]")
 _QUOTES = frozenset('"“”„«»')
 
 PLAIN, DIRECTED, QUOTED = 0, 1, 2
-#: Features: exact hits plain, directed and quoted, misspelled ones likewise. The curve is drawn towards these slopes.
-TOWARDS = np.array([1.5, 2.0, 0.2, 0.8, 1.2, 0.1])
+#: Features: exact hits plain, directed and quoted, misspelled ones likewise, and the heaviest unquoted one. The curve is drawn towards these slopes.
+TOWARDS = np.array([1.5, 2.0, 0.2, 0.8, 1.2, 0.1, 0.5])
 
 
 def allowance(letters: int, stem: bool) -> int:
@@ -239,12 +239,15 @@ class Reader:
             return []
         return [(w, *found[w], context(words, first + i)) for i, w in enumerate(part) if w in found]
 
-    def features(self, text: str | None) -> np.ndarray:
-        """Logarithms of the summed weights by exactness and context."""
-        sums = np.zeros(6)
-        for _, edits, weight, where in self.hits(text):
-            sums[where + 3 * (edits > 0)] += weight * 0.5**edits
-        return np.log1p(sums)
+
+def features(hits: list[tuple[str, int, float, int]]) -> np.ndarray:
+    """Logarithms of the summed weights by exactness and context, and the largest weight that is not quoted; an edit halves a weight."""
+    sums, most = np.zeros(6), 0.0
+    for _, edits, weight, where in hits:
+        weight *= 0.5**edits
+        sums[where + 3 * (edits > 0)] += weight
+        most = most if where == QUOTED else max(most, weight)
+    return np.r_[np.log1p(sums), most]
 
 
 def context(words: list[str], at: int) -> int:
@@ -377,7 +380,7 @@ def _features(rows: DataFrame, model: Model, *columns: str) -> DataFrame:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(Model(shared.value[0]))
         for batch in batches:
-            yield pd.Series([reader.features(t) for t in batch])
+            yield pd.Series([features(reader.hits(t)) for t in batch])
 
     return rows.select(*columns, run("text").alias("features"))
 
@@ -397,10 +400,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "
         for batch in batches:
             rows = []
             for text in batch:
-                hits, sums = reader.hits(text), np.zeros(6)
-                for _, edits, weight, where in hits:
-                    sums[where + 3 * (edits > 0)] += weight * 0.5**edits
-                rows.append((found.score(np.log1p(sums)), len(hits), sum(h[1] > 0 for h in hits), sum(h[3] == QUOTED for h in hits)))
+                hits = reader.hits(text)
+                rows.append((found.score(features(hits)), len(hits), sum(h[1] > 0 for h in hits), sum(h[3] == QUOTED for h in hits)))
             yield pd.DataFrame(rows, columns=["score", "hits", "misspelled", "quoted"]).astype({"score": "float64", "hits": "int64", "misspelled": "int64", "quoted": "int64"})
 
     read = narrow(docs, id_col, text_col).select(F.col(f"`{id_col}`"), run(text_or_empty(text_col)).alias("r"))
