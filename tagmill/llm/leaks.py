@@ -23,7 +23,9 @@ NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 
 _NUMBER = r"[0-9]+(?:[.,][0-9]+)*"
 #: White space that counts as one blank before names and units are marked.
-_SPACES = r"[\s\u00A0\u2028\u2029]+"
+_SPACE = r"\s\u00A0\u2028\u2029"
+#: Where that is not one blank already.
+_SPACES = rf"[{_SPACE}]{{2,}}|[{_SPACE}&&[^ ]]"
 _LETTERS = r"[\p{L}\p{M}]"
 #: A capitalised word inside a sentence: it follows a small letter, comma or similar, and one blank.
 _NAME = rf"(?<=[\p{{Ll}},;:] )\p{{Lu}}{_LETTERS}+"
@@ -31,12 +33,16 @@ _UNITS = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l s ms min h hr hrs secon
 _UNIT = rf"(?<={NUMBER} ?)(?:{'|'.join(sorted(_UNITS, key=lambda u: (-len(u), u)))})(?!{_LETTERS})"
 
 
-def _templates(text: Column) -> Column:
-    """Template words: lower-case words, with one placeholder for each number, name and unit."""
-    marked = F.regexp_replace(F.regexp_replace(text, _SPACES, " "), _NUMBER, NUMBER)
-    marked = F.regexp_replace(marked, _NAME, NAME)
-    marked = F.when(F.contains(marked, F.lit(NUMBER)), F.regexp_replace(marked, _UNIT, UNIT)).otherwise(marked)
-    return F.regexp_extract_all(F.lower(marked), F.lit(f"([{NUMBER}{NAME}{UNIT}]|{_LETTERS}+)"), F.lit(1))
+def _marked(text: Column) -> Column:
+    """The text with a placeholder for each number and name."""
+    spaced = F.regexp_replace(F.regexp_replace(text, _SPACES, " "), _NUMBER, NUMBER)
+    return F.regexp_replace(spaced, _NAME, NAME)
+
+
+def _templates(marked: Column) -> Column:
+    """Template words of a marked text: lower-case words, with one placeholder for each number, name and unit."""
+    units = F.when(F.contains(marked, F.lit(NUMBER)), F.regexp_replace(marked, _UNIT, UNIT)).otherwise(marked)
+    return F.regexp_extract_all(F.lower(units), F.lit(f"([{NUMBER}{NAME}{UNIT}]|{_LETTERS}+)"), F.lit(1))
 
 
 def _raw_words(text: Column) -> Column:
@@ -44,17 +50,24 @@ def _raw_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({_NUMBER}|{_LETTERS}+)"), F.lit(1))
 
 
-def _hashes(words: str) -> Column:
-    """xxhash64 of every window of ``words``, in order; empty for fewer words than a window has."""
-    parts = ", ".join(f"{words}[i + {j}]" for j in range(WINDOW))
-    return F.expr(f"if(size({words}) < {WINDOW}, array(), transform(sequence(0, size({words}) - {WINDOW}), i -> xxhash64({parts})))")
+def _each(words: str) -> Column:
+    return F.expr(f"transform({words}, w -> xxhash64(w))")
+
+
+def _hashes(each: str) -> Column:
+    """xxhash64 of every window's word hashes, in order; empty for fewer words than a window has."""
+    parts = ", ".join(f"{each}[i + {j}]" for j in range(WINDOW))
+    return F.expr(f"if(size({each}) < {WINDOW}, array(), transform(sequence(0, size({each}) - {WINDOW}), i -> xxhash64({parts})))")
 
 
 def _prepared(rows: DataFrame, key: str, text_col: str, name: str) -> DataFrame:
+    """(name, tpl, raw, hashes, raw_hashes). Each step stands for itself, since a column that an expression names twice is computed twice."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = narrow(rows, key, text_col).select(F.col(key).alias(name), text.alias("body"))
-    words = compute_once(base, tpl=_templates(F.col("body")), raw=_raw_words(F.col("body"))).drop("body")
-    return compute_once(words, hashes=_hashes("tpl"), raw_hashes=_hashes("raw"))
+    marked = compute_once(base, marked=_marked(F.col("body")))
+    words = compute_once(marked, tpl=_templates(F.col("marked")), raw=_raw_words(F.col("body"))).drop("body", "marked")
+    words = compute_once(words, tpl_each=_each("tpl"), raw_each=_each("raw"))
+    return compute_once(words, hashes=_hashes("tpl_each"), raw_hashes=_hashes("raw_each")).drop("tpl_each", "raw_each")
 
 
 def _items(items: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -74,7 +87,7 @@ def _anchors(items: DataFrame) -> DataFrame:
     raw = windows.select("item_id", "variant", "n_words", "ipos", F.col("raw_h").alias("h"))
     named = F.concat(F.array(F.lit(NAME)), F.slice("w", 2, WINDOW - 1))
     first = windows.where("ipos = 0").select("item_id", "variant", "n_words", "ipos", named.alias("w"))
-    first = first.select("item_id", "variant", "n_words", "ipos", "w", F.xxhash64(*[F.col("w")[j] for j in range(WINDOW)]).alias("h"))
+    first = first.select("item_id", "variant", "n_words", "ipos", "w", F.xxhash64(*[F.xxhash64(F.col("w")[j]) for j in range(WINDOW)]).alias("h"))
     tpl = windows.drop("raw_h").unionByName(first)
     tpl = tpl.withColumn("plain", F.lit(WINDOW) - F.size(F.filter("w", lambda x: x.isin(NUMBER, NAME, UNIT))))
     most = tpl.groupBy("item_id", "variant").agg(F.least(F.max("plain"), F.lit(PLAIN_WORDS)).alias("least"))
