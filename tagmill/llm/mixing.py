@@ -96,21 +96,30 @@ def calibrated(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | Non
     return rows, probabilities(rake(cells, goals, sweeps), keep)
 
 
-def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row for each sampled document: id, source, lang, topic, n_tokens, weight (raked share of all tokens over the share it
-    has) and probability.
+def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The sampled rows of ``docs`` as they are, with topic, n_tokens, weight (raked share of all tokens over the share the cell has) and
+    probability beside them; input columns of those four names are replaced. No text is shuffled: cells are joined to the rows.
 
     Null texts are empty and have no tokens; a cell without tokens has probability 0 (unless no cell has any: then ``keep``). Null
     source or language counts as 'unknown'; a target for a value that does not occur is left out and the rest normalised; a null
     id draws like an empty one; rows that repeat an id are kept or left together. An empty table gives an empty result.
     """
-    rows, cells = calibrated(docs, targets, keep, id_col=id_col, text_col=text_col, **options)
+    _, cells = calibrated(docs, targets, keep, id_col=id_col, text_col=text_col, **options)
     total = cells.agg(F.sum("tokens").alias("t"), F.sum("w").alias("w")).first()
     share = F.col("w") / (total["w"] or 1.0) / F.when(F.col("tokens") > 0, F.col("tokens") / (total["t"] or 1.0)).otherwise(1.0)
-    known = cells.select(*[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("p"), share.alias("weight"))
-    joined = rows.join(broadcast_if_bounded(known, 256), [F.col(m) == F.col(f"_{m}") for m in MARGINS])
-    picked = joined.where(draw(F.col("doc_id")) < F.col("p"))
-    return picked.select(F.col("doc_id").alias(id_col), *MARGINS, "n_tokens", F.round("weight", 6).alias("weight"), F.round("p", 6).alias("probability"))
+    known = cells.select(F.struct(*MARGINS).alias("_cell"), F.struct(F.round("p", 6).alias("probability"), F.round(share, 6).alias("weight"), "p").alias("_mix"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    cell = F.struct(*[F.coalesce(F.col(m), F.lit("unknown")).alias(m) for m in ("source", "lang")], topic_of(text).alias("topic"))
+    rows = docs.select(*[c for c in docs.columns if c not in ("topic", "n_tokens", "weight", "probability")], cell.alias("_at"), F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("n_tokens"))
+    joined = rows.join(broadcast_if_bounded(known, 256), F.col("_at") == F.col("_cell")).where(draw(F.col(f"`{id_col}`")) < F.col("_mix.p"))
+    return joined.withColumns({"topic": F.col("_at.topic"), "weight": F.col("_mix.weight"), "probability": F.col("_mix.probability")}).drop("_at", "_cell", "_mix")
+
+
+def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row for each document that ``mixed`` samples: id, source, lang ('unknown' if null), topic, n_tokens, weight and probability."""
+    rows = mixed(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), "source", "lang"), targets, keep, id_col, text_col, **options)
+    known = [F.coalesce(F.col(m), F.lit("unknown")).alias(m) for m in ("source", "lang")]
+    return rows.select(id_col, *known, "topic", "n_tokens", "weight", "probability")
 
 
 def oracle_sql(sweeps: int = SWEEPS, rounds: int = CAP_ROUNDS, keep: float = KEEP, temper: float = TEMPER) -> str:
