@@ -25,7 +25,12 @@ def test_stages_take_effect_one_after_another(spark, sf_dir):
         if name == "personal_data":
             assert set(ids) == set(before) and not any(pii.base_spans(r["text"]) for r in rows)
             assert all(r["n_chars"] == len(r["text"]) for r in rows)
-        if name != "mixing":
+        if name == "mixing":
+            assert list(rows[0].asDict()) == [*columns, "topic", "n_tokens", "weight", "probability"]
+            assert rows and all(r["text"] == before[r["doc_id"]] and r["n_chars"] == len(r["text"]) for r in rows)
+            assert not any(pii.base_spans(r["text"]) for r in rows)
+            assert len(rows) < len(before) and all(0 < r["probability"] <= 1 for r in rows)
+        else:
             assert list(rows[0].asDict()) == columns
             docs = spark.createDataFrame(rows, docs.schema)
             before = {r["doc_id"]: r["text"] for r in rows}
