@@ -110,9 +110,10 @@ def mixed(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = N
     known = cells.select(F.struct(*MARGINS).alias("_cell"), F.struct(F.round("p", 6).alias("probability"), F.round(share, 6).alias("weight"), "p").alias("_mix"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     cell = F.struct(*[F.coalesce(F.col(m), F.lit("unknown")).alias(m) for m in ("source", "lang")], topic_of(text).alias("topic"))
-    rows = docs.select(*[c for c in docs.columns if c not in ("topic", "n_tokens", "weight", "probability")], cell.alias("_at"), F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("n_tokens"))
+    rows = docs.drop("topic", "n_tokens", "weight", "probability").select("*", cell.alias("_at"), F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("n_tokens"))
     joined = rows.join(broadcast_if_bounded(known, 256), F.col("_at") == F.col("_cell")).where(draw(F.col(f"`{id_col}`")) < F.col("_mix.p"))
-    return joined.withColumns({"topic": F.col("_at.topic"), "weight": F.col("_mix.weight"), "probability": F.col("_mix.probability")}).drop("_at", "_cell", "_mix")
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("topic", "n_tokens", "weight", "probability")]
+    return joined.select(*own, F.col("_at.topic").alias("topic"), "n_tokens", F.col("_mix.weight").alias("weight"), F.col("_mix.probability").alias("probability"))
 
 
 def sample(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
