@@ -146,15 +146,17 @@ def sample_predictions(spark, sf_dir):
     return evaluate.sample_predictions(_scores(spark, sf_dir), _truth(spark, sf_dir), _class_vocab(spark, sf_dir), K)
 
 
-_EVAL_CTE = f"""WITH scores AS ({SCORES_SQL}),
+def _eval_cte(scored: str, k: int = K) -> str:
+    """Metrics of a relation (sample_id, class_idx, score, is_true)."""
+    return f"""scores AS ({scored}),
 per AS (SELECT sample_id, count(*) FILTER (score > 0.5 AND is_true = 1) AS tp, count(*) FILTER (score > 0.5 AND is_true = 0) AS fp,
                count(*) FILTER (score <= 0.5 AND is_true = 1) AS fn FROM scores GROUP BY sample_id),
 pr AS (SELECT avg(tp / (tp + fp + 1e-10)) AS p, avg(tp / (tp + fn + 1e-10)) AS r FROM per),
 ham AS (SELECT avg(CASE WHEN (score > 0.5) = (is_true = 1) THEN 1.0::double ELSE 0 END) AS h FROM scores),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, class_idx) AS rank FROM scores),
-best AS (SELECT * FROM ranked WHERE rank <= {K}),
+best AS (SELECT * FROM ranked WHERE rank <= {k}),
 topk AS (SELECT avg(hit) AS acc FROM (SELECT sample_id, max(is_true) AS hit FROM best GROUP BY sample_id) t),
-ap AS (SELECT b.sample_id, sum(CASE WHEN is_true = 1 THEN hits / rank ELSE 0 END) / least(max(n_true), {K}) AS ap
+ap AS (SELECT b.sample_id, sum(CASE WHEN is_true = 1 THEN hits / rank ELSE 0 END) / least(max(n_true), {k}) AS ap
        FROM (SELECT *, sum(is_true) OVER (PARTITION BY sample_id ORDER BY rank) AS hits FROM best) b
        JOIN (SELECT sample_id, sum(is_true) AS n_true FROM scores GROUP BY sample_id) n ON b.sample_id = n.sample_id
        WHERE n_true > 0 GROUP BY b.sample_id),
@@ -162,6 +164,14 @@ map AS (SELECT avg(ap) AS m FROM ap)
 """
 
 
+_EVAL_CTE = "WITH " + _eval_cte(SCORES_SQL)
+
+
+def _all_metrics(k: int) -> str:
+    return f"""SELECT round(p, 6) AS "precision", round(r, 6) AS recall, round(2 * p * r / (p + r + 1e-10), 6) AS f1_score, round(h, 6) AS hamming_accuracy,
+              round(acc, 6) AS top_{k}_accuracy, round(m, 6) AS mean_average_precision FROM pr, ham, topk, map"""
+
+
 def _features(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sample_id"), F.col("embedding").alias("features"))
 
@@ -199,25 +209,45 @@ best AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY confidence
 """
 
 
+#: Steps of the registered fits; their SQL unrolls them.
+STEPS, SHRINK = 6, 0.01
+
+
 def fit_weights(spark, sf_dir):
-    """A fitted one-vs-rest model, summarised per class."""
-    features, classes = _features(spark, sf_dir), _class_labels(spark, sf_dir)
-    found = [r["class_idx"] for r in classes.select("class_idx").distinct().orderBy("class_idx").collect()]
-    fitted = model.fit(features, classes, found)
-    norm = F.sqrt(F.aggregate("coef", F.lit(0.0), lambda a, x: a + x * x))
-    return fitted.select("class_idx", F.size("coef").alias("n_coef"), F.round(norm, 3).alias("norm"), F.round("intercept", 3).alias("intercept"))
+    """All weights of a model fitted for all classes, one row each; the intercept is the last position."""
+    fitted = model.fit(_features(spark, sf_dir), _class_labels(spark, sf_dir), iterations=STEPS, regularisation=SHRINK)
+    return fitted.select("class_idx", F.posexplode(F.concat("coef", F.array("intercept"))).alias("position", "weight")).select("class_idx", F.col("position").cast("long").alias("position"), F.round("weight", 6).alias("weight"))
 
 
 def fit_accuracy(spark, sf_dir):
-    """Metrics of the fitted model on the samples of the test split."""
-    features, classes = _features(spark, sf_dir), _class_labels(spark, sf_dir)
-    parts = export.with_split(features.withColumnRenamed("sample_id", "id"), 0.2).withColumnRenamed("id", "sample_id")
-    train, test = parts.where("split = 'train'").drop("split"), parts.where("split = 'test'").drop("split")
-    found = [r["class_idx"] for r in classes.select("class_idx").distinct().orderBy("class_idx").collect()]
-    weights = model.fit(train, classes.join(train.select("sample_id"), "sample_id"), found)
-    predicted = model.predict_top_k(test, weights, len(found))
+    """Metrics on the test split of a model fitted on the training split."""
+    parts = export.with_split(_features(spark, sf_dir).withColumnRenamed("sample_id", "id"), 0.2).withColumnRenamed("id", "sample_id")
+    classes = export.with_split(_class_labels(spark, sf_dir).withColumnRenamed("sample_id", "id"), 0.2).withColumnRenamed("id", "sample_id")
+    side = lambda df, name: df.where(F.col("split") == name).drop("split")
+    weights = model.fit(side(parts, "train"), side(classes, "train"), iterations=STEPS, regularisation=SHRINK)
+    predicted = model.predict_top_k(side(parts, "test"), weights, weights.count())
     scored = predicted.select("sample_id", F.explode("top").alias("t")).select("sample_id", "t.class_idx", "t.score")
-    return evaluate.metrics(scored, classes.join(test.select("sample_id"), "sample_id"), 3)
+    row = evaluate.metrics(scored, side(classes, "test"), 3)
+    return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
+
+
+def _fit_cte(rows: str) -> str:
+    """The same gradient steps over (sample, position) cells of the embeddings that meet ``rows``, unrolled."""
+    steps = [
+        "e AS MATERIALIZED (SELECT vec_id, label, embedding, ('0x' || substr(md5(CAST(vec_id AS varchar)), 1, 8))::bigint % 10000 < 2000 AS test FROM embeddings)",
+        """x AS MATERIALIZED (SELECT vec_id AS i, d, test, CASE WHEN d < n THEN CAST(embedding[d + 1] AS double) ELSE 1 END AS x, d < n AS inner_cell
+           FROM (SELECT *, len(embedding) AS n, unnest(range(len(embedding) + 1)) AS d FROM e) u)""",
+        f"t AS MATERIALIZED (SELECT * FROM x WHERE {rows})",
+        f"size AS MATERIALIZED (SELECT count(DISTINCT i)::double AS n, 1 / (0.25 * sum(x * x) / count(DISTINCT i) + {SHRINK}) AS step FROM t)",
+        f"s AS MATERIALIZED (SELECT c.label AS c, g.d, g.inner_cell, coalesce(sum(CASE WHEN e.label = c.label THEN t.x END), 0) AS s FROM (SELECT DISTINCT label FROM e WHERE {rows}) c, (SELECT DISTINCT d, inner_cell FROM t) g JOIN t ON t.d = g.d JOIN e ON e.vec_id = t.i GROUP BY ALL)",
+        "w0 AS MATERIALIZED (SELECT c, d, inner_cell, s, 0::double AS v, 0::double AS w FROM s)",
+    ]
+    for k in range(STEPS):
+        steps.append(f"p{k} AS MATERIALIZED (SELECT t.i, w.c, 1 / (1 + exp(-sum(t.x * w.w))) AS p FROM t JOIN w{k} w ON t.d = w.d GROUP BY ALL)")
+        steps.append(f"g{k} AS MATERIALIZED (SELECT p.c, t.d, sum(p.p * t.x) AS g FROM p{k} p JOIN t ON t.i = p.i GROUP BY ALL)")
+        steps.append(f"n{k} AS MATERIALIZED (SELECT w.*, w.w - step * ((g.g - w.s) / n + CASE WHEN inner_cell THEN {SHRINK} * w.w ELSE 0 END) AS next FROM w{k} w JOIN g{k} g ON w.c = g.c AND w.d = g.d, size)")
+        steps.append(f"w{k + 1} AS MATERIALIZED (SELECT c, d, inner_cell, s, next AS v, next + {k / (k + 3.0)!r} * (next - v) AS w FROM n{k})")
+    return "WITH " + ",\n".join(steps)
 
 
 def _pixel_images(spark, sf_dir):
@@ -286,9 +316,7 @@ QUERIES = {
     "eval_map": (eval_map, _EVAL_CTE + "SELECT round(m, 6) AS mean_average_precision FROM map"),
     "eval_all": (
         eval_all,
-        _EVAL_CTE
-        + f"""SELECT round(p, 6) AS "precision", round(r, 6) AS recall, round(2 * p * r / (p + r + 1e-10), 6) AS f1_score, round(h, 6) AS hamming_accuracy,
-              round(acc, 6) AS top_{K}_accuracy, round(m, 6) AS mean_average_precision FROM pr, ham, topk, map""",
+        _EVAL_CTE + _all_metrics(K),
     ),
     "top_k_classes": (top_k_classes, _EVAL_CTE + "SELECT sample_id, class_idx, CAST(rank AS integer) AS rank, round(score, 6) AS score FROM best"),
     "sample_predictions": (
@@ -310,8 +338,17 @@ QUERIES = {
         _PREDICT_CTE
         + f"SELECT 'img/' || sample_id || '.png' AS image, 'label ' || class_idx AS best_tag, round(confidence, 6) AS best_confidence, {K} AS n_tags FROM best WHERE rank = 1",
     ),
-    "fit_weights": (fit_weights, None),
-    "fit_accuracy": (fit_accuracy, None),
+    "fit_weights": (fit_weights, _fit_cte("true") + f" SELECT c AS class_idx, d AS position, round(v, 6) AS weight FROM w{STEPS}"),
+    "fit_accuracy": (
+        fit_accuracy,
+        _fit_cte("NOT test")
+        + ", "
+        + _eval_cte(
+            f"SELECT x.i AS sample_id, w.c AS class_idx, 1 / (1 + exp(-sum(x.x * w.v))) AS score, max((e.label = w.c)::int) AS is_true FROM x JOIN w{STEPS} w ON x.d = w.d JOIN e ON e.vec_id = x.i WHERE x.test GROUP BY ALL",
+            3,
+        )
+        + _all_metrics(3),
+    ),
     "tensor_stats": (
         tensor_stats,
         _PIXELS_CTE

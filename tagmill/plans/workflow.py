@@ -50,7 +50,7 @@ def train_and_evaluate(dataset: DataFrame, features: DataFrame, classes: int | N
     """Split by id, fit all tags of the training part, score the test part, measure it on the model's vocabulary.
 
     ``features``: ``sample_id, features`` for every dataset id. ``classes`` asks for a smaller model of the most frequent
-    tags only. Fitting runs one distributed job per class.
+    tags only. All classes are fitted in one job per iteration.
     """
     if dataset.select("id").limit(2).count() < 2:
         raise ValueError("too few items to split")
@@ -64,10 +64,9 @@ def train_and_evaluate(dataset: DataFrame, features: DataFrame, classes: int | N
     def encoded(part: DataFrame) -> DataFrame:
         return labels.encode_labels(labels.long_tags(part), vocab).withColumnRenamed("id", "sample_id")
 
-    wanted = list(range(vocab.count()))
     ids = lambda part: part.select(F.col("id").alias("sample_id"))
-    weights = model.fit(features.join(ids(train), "sample_id"), encoded(train), wanted)
-    scored = cut(model.predict_top_k(features.join(ids(test), "sample_id"), weights, len(wanted)))
+    weights = model.fit(features.join(ids(train), "sample_id"), encoded(train), vocab.select(F.col("idx").alias("class_idx")))
+    scored = cut(model.predict_top_k(features.join(ids(test), "sample_id"), weights, vocab.count()))
     cells = scored.select("sample_id", F.explode("top").alias("t")).select("sample_id", "t.class_idx", "t.score")
     names = model.name_predictions(scored.withColumn("top", F.slice("top", 1, k)), vocab)
     records = model.prediction_records(names, test.select(F.col("id").alias("sample_id"), "image"), k)

@@ -68,14 +68,16 @@ def test_vocabulary_round_trip(spark):
     ]
 
 
-def test_block_scoring_equals_one_block(spark):
+def test_block_scoring_equals_one_block(spark, monkeypatch):
     rng = random.Random(1)
     features = spark.createDataFrame(
         [(i, [rng.random() for _ in range(4)]) for i in range(30)] + [(30, None), (31, [1.0])], "sample_id long, features array<double>"
     )
     weights = spark.createDataFrame([(c, [rng.uniform(-1, 1) for _ in range(4)], rng.uniform(-1, 1)) for c in range(11)], "class_idx long, coef array<double>, intercept double")
     whole = {r.sample_id: r.top for r in model.predict_top_k(features, weights, 3).collect()}
-    blocks = {r.sample_id: r.top for r in model.predict_top_k(features, weights, 3, max_bytes=4 * 8 * 4).collect()}
+    monkeypatch.setattr(model, "BLOCK_BYTES", 4 * 8 * 4)
+    monkeypatch.setattr(model, "BROADCAST_BYTES", 0)
+    blocks = {r.sample_id: r.top for r in model.predict_top_k(features, weights, 3).collect()}
     assert len(whole) == 32 and whole[30] == [] and whole[31] == []
     for i in whole:
         assert [t.class_idx for t in whole[i]] == [t.class_idx for t in blocks[i]]
@@ -90,9 +92,49 @@ def test_fit_separates_simple_classes(spark):
     rows = [(i, [float(i % 2), float(i % 3 == 0)]) for i in range(120)]
     features = spark.createDataFrame(rows, "sample_id long, features array<double>")
     truth = spark.createDataFrame([(i, 0) for i in range(120) if i % 2] + [(i, 1) for i in range(120) if i % 3 == 0], "sample_id long, class_idx long")
-    weights = model.fit(features, truth, [0, 1])
+    weights = model.fit(features, truth, iterations=20, regularisation=1e-4)
     scored = model.predict_top_k(features, weights, 2)
     from pyspark.sql import functions as F
 
     cells = scored.select("sample_id", F.explode("top").alias("t")).select("sample_id", "t.class_idx", "t.score")
     assert evaluate.hamming_accuracy(cells, truth).first()[0] == 1.0
+
+
+def plain_fit(x, y, iterations, shrink):
+    """Accelerated gradient steps on one class."""
+    x = np.c_[x, np.ones(len(x))]
+    step = 1 / (0.25 * (x * x).sum() / len(x) + shrink)
+    v, w, keep = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.r_[np.ones(x.shape[1] - 1), 0]
+    for k in range(iterations):
+        g = x.T @ (1 / (1 + np.exp(-(x @ w))) - y) / len(x) + shrink * keep * w
+        new = w - step * g
+        v, w = new, new + k / (k + 3) * (new - v)
+    return v
+
+
+def test_all_classes_are_fitted_together_whatever_the_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 5)).round(3)
+    y = {c: x[:, c % 5] + 0.3 * rng.normal(size=300) > 0.4 for c in range(9)}
+    features = [(i, r.tolist()) for i, r in enumerate(x)] + [(900, None), (901, [1.0]), (902, [float("nan")] * 5), (903, [0.1, None, 0.1, 0.1, 0.1])]
+    labels = [(i, c) for c in y for i in range(300) if y[c][i]]
+    df = spark.createDataFrame(features, "sample_id long, features array<double>").repartition(3)
+    truth = spark.createDataFrame(labels + labels[:50] + [(900, 1), (901, 2), (902, 3), (None, 3), (5, None)], "sample_id long, class_idx long")
+    asked = spark.createDataFrame([(c,) for c in range(10)], "class_idx long")
+    for name, value in (("SLAB", 64), ("BLOCK_BYTES", 150), ("BROADCAST_BYTES", 0), ("SUMMED_BYTES", 300)):
+        monkeypatch.setattr(model, name, value)
+    fitted = {r["class_idx"]: [*r["coef"], r["intercept"]] for r in model.fit(df, truth, asked, iterations=4).collect()}
+    assert sorted(fitted) == list(range(10))
+    for c in range(9):
+        assert fitted[c] == pytest.approx(plain_fit(x, y[c], 4, 0.01))
+    assert fitted[9] == pytest.approx(plain_fit(x, np.zeros(300), 4, 0.01))
+
+
+def test_fitting_nothing(spark):
+    none = spark.createDataFrame([], "sample_id long, features array<double>")
+    truth = spark.createDataFrame([(1, 7)], "sample_id long, class_idx long")
+    assert [tuple(r) for r in model.fit(none, truth).collect()] == [(7, [], 0.0)]
+    only_bad = spark.createDataFrame([(1, [float("nan")])], "sample_id long, features array<double>")
+    assert [tuple(r) for r in model.fit(only_bad, truth).collect()] == [(7, [0.0], 0.0)]
+    assert model.fit(only_bad, truth.limit(0)).count() == 0
+    assert [tuple(r) for r in model.predict_top_k(only_bad, model.fit(only_bad, truth), 2).collect()] == [(1, [])]
