@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tagmill.session import cut
 
+#: Bins of a range of values whose ranks are looked for.
+BINS = 1 << 14
+
 
 def running_totals(
     df: DataFrame,
@@ -76,43 +79,78 @@ def order_statistics(
     """Exact order statistics per ``keys`` (one row over the whole table without keys).
 
     ``linear`` maps a column name to a quantile with linear interpolation, ``indexed`` to a quantile ``q`` taken as the
-    element at index ``int(n * q)`` of the sorted values. Equal values are counted before anything is sorted, so a value
-    shared by many rows costs one row.
+    element at index ``int(n * q)`` of the sorted values. Nulls take no part; infinities and NaN (the largest) do.
+
+    Values are neither sorted nor shuffled. Each wanted rank has a range of values that it lies in. A pass counts the
+    values of these ranges in BINS bins each, and the bin that holds the rank, cut to its own least and largest value,
+    is the next range; a range of one value is the answer. Two passes after the first are usual; from then on linear bins
+    take turns with logarithmic ones, so that values of many magnitudes do not keep falling into one bin.
     """
     linear, indexed, keys = dict(linear or {}), dict(indexed or {}), list(keys)
-    counts = cut(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
-    ranked = running_totals(counts, ["_v"], {"_cum": F.col("_n")}, keys)
-    if keys:
-        sizes = counts.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(F.sum("_n").alias("_total"))
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-        ranked = ranked.join(sizes, on)
-    else:
-        ranked = ranked.withColumn("_total", counts.agg(F.sum("_n")).scalar())
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_cum") - F.col("_n") <= rank) & (rank < F.col("_cum")), F.col("_v")))
-
-    total = F.col("_total")
-    picks: list[Column] = [F.max(total).alias("_total")]
+    total, names = F.col("_total"), []
+    ranks: list[Column] = []
     for name, q in linear.items():
-        rank = (total - 1) * F.lit(float(q))
-        picks += [at(F.floor(rank)).alias(f"{name}__lo"), at(F.ceil(rank)).alias(f"{name}__hi")]
+        names += [f"{name}__lo", f"{name}__hi"]
+        ranks += [F.floor((total - 1) * F.lit(float(q))), F.ceil((total - 1) * F.lit(float(q)))]
     for name, q in indexed.items():
-        picks.append(at(F.floor(total * F.lit(float(q)))).alias(name))
-    picked = ranked.groupBy(*keys).agg(*picks)
-
-    columns = [F.col(k) for k in keys]
+        names.append(name)
+        ranks.append(F.floor(total * F.lit(float(q))))
+
+    by = [f"_g{i}" for i in range(len(keys))] or ["_g0"]
+    groups = [F.col(k).alias(g) for k, g in zip(keys, by)] or [F.lit(0).alias("_g0")]
+    values = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
+    v, inf = F.col("_v"), F.lit(float("inf"))
+    finite = F.abs(v) < inf
+    state = values.groupBy(*by).agg(
+        F.count("*").alias("_total"), F.count_if(v == -inf).alias("_low"), F.count_if(finite).alias("_mid"), F.count_if(v == inf).alias("_high"),
+        F.min(F.when(finite, v)).alias("_min"), F.max(F.when(finite, v)).alias("_max"),
+    )
+    rank = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), r.cast("long").alias("r")) for i, r in enumerate(ranks)]))
+    r, below, upto = F.col("x.r"), F.col("_low"), F.col("_low") + F.col("_mid")
+    outside = F.when(r < below, -inf).when(r < upto + F.col("_high"), inf).otherwise(float("nan"))
+    inside = (r >= below) & (r < upto)
+    # A row for each key and rank: the range of values that the rank lies in, and how many values are below the range.
+    state = state.withColumn("x", rank).select(
+        *by, "_total", F.col("x.i").alias("i"), r.alias("r"), below.alias("before"),
+        F.when(inside, F.col("_min")).otherwise(outside).alias("lo"), F.when(inside, F.col("_max")).otherwise(outside).alias("hi"),
+    )
+    state = cut(state)
+    passes = 0
+    while not (unknown := state.where("lo < hi")).isEmpty():
+        ranges = unknown.select(*[F.col(g).alias(f"_s{g}") for g in by], "lo", "hi").distinct()
+        held = _same_keys(by, [f"_s{g}" for g in by]) & (v >= F.col("lo")) & (v <= F.col("hi"))
+        joined = values.join(ranges if keys else F.broadcast(ranges), held)
+        place = (v / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        if passes > 1 and passes % 2 == 0:
+            place = F.when(place > 0, 1 + F.log2(place) / 1100).otherwise(0.0)
+        counts = joined.groupBy(*by, F.col("lo").alias("of"), F.floor(place * BINS).cast("int").alias("bin")).agg(F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"))
+        upto = F.sum("n").over(Window.partitionBy(*by, "of").orderBy("bin"))  # of BINS + 1 rows at most
+        counts = counts.withColumn("upto", upto).select(*[F.col(g).alias(f"_c{g}") for g in by], "of", "least", "most", "n", "upto")
+        need = F.col("r") - F.col("before")
+        found = unknown.join(counts, _same_keys(by, [f"_c{g}" for g in by]) & (F.col("lo") == F.col("of")))
+        found = found.where((need < F.col("upto")) & (need >= F.col("upto") - F.col("n")))
+        found = found.select(*by, "_total", "i", "r", (F.col("before") + F.col("upto") - F.col("n")).alias("before"), F.col("least").alias("lo"), F.col("most").alias("hi"))
+        state = cut(state.where("NOT lo < hi").unionByName(found))
+        passes += 1
+
+    valid = F.col("r").between(0, total - 1)
+    picked = state.groupBy(*by, "_total").agg(*[F.max(F.when((F.col("i") == i) & valid, F.col("lo"))).alias(n) for i, n in enumerate(names)])
+    columns = {}
     for name, q in linear.items():
-        rank = (total - 1) * F.lit(float(q))
+        at = (total - 1) * F.lit(float(q))
         lo, hi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        columns.append((lo + (hi - lo) * (rank - F.floor(rank))).alias(name))
-    return picked.select(*columns, *[F.col(n) for n in indexed])
+        columns[name] = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (at - F.floor(at)))
+    columns |= {name: F.col(name) for name in indexed}
+    if not keys:
+        return picked.agg(*[F.max(c).alias(n) for n, c in columns.items()])
+    return picked.select(*[F.col(g).alias(k) for g, k in zip(by, keys)], *[c.alias(n) for n, c in columns.items()])
+
+
+def _same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
 
 
 def smallest(df: DataFrame, n: int, order_by: str, tie_break: str) -> DataFrame:

@@ -68,3 +68,30 @@ def test_smallest_is_exact_with_ties(spark, n):
     rows = [(i, i % 6) for i in range(100)]
     got = ordered.smallest(spark.createDataFrame(rows, "id long, h long"), n, "h", "id").collect()
     assert sorted((r.h, r.id) for r in got) == sorted((h, i) for i, h in rows)[:n]
+
+
+@pytest.mark.parametrize("bins", [3, 1 << 14])
+def test_order_statistics_by_refinement(spark, monkeypatch, bins):
+    """Values of many magnitudes, ties, infinities and NaN; few bins need many passes."""
+    monkeypatch.setattr(ordered, "BINS", bins)
+    rng = random.Random(8)
+    values = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(60)] + [0.0] * 9 + [-0.0] * 3 + [5e-324, 1.7e308, -1.7e308] + [2.5] * 20
+    rows = [("a", v) for v in values] + [("b", float("inf")), ("b", float("-inf")), ("b", 1.0), ("b", float("nan"))] + [("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    marks = {f"i{p}": p / 100 for p in (0, 25, 50, 75, 99)}
+    got = {r["k"]: r for r in ordered.order_statistics(df, "v", indexed=marks, keys=["k"]).collect()}
+    assert set(got) == {"a", "b"}
+    ordered_values = sorted(values)
+    for name, q in marks.items():
+        assert got["a"][name] == ordered_values[int(len(values) * q)]
+    assert [got["b"][n] for n in ("i0", "i25", "i50")] == [float("-inf"), 1.0, float("inf")] and got["b"]["i99"] != got["b"]["i99"]
+
+
+def test_order_statistics_neither_sort_nor_shuffle_values(spark, monkeypatch):
+    df = spark.range(20_000).select(F.rand(3).alias("v"))
+    plans = []
+    real = ordered.cut
+    monkeypatch.setattr(ordered, "cut", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or real(d))
+    got = ordered.order_statistics(df, "v", {"p50": 0.5, "p90": 0.9}).first()
+    assert list(got) == pytest.approx(list(np.quantile([r.v for r in df.collect()], [0.5, 0.9])))
+    assert len(plans) <= 4 and not any("rangepartitioning" in p for p in plans)
