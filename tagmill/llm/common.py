@@ -46,8 +46,12 @@ def literals(values: Iterable) -> Column:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files behind a table that ``session.cut`` wrote, once nothing reads it any more."""
+    """Delete the files behind a table that ``session.cut`` wrote, once nothing reads it any more.
+
+    Spark drops the shuffle files of finished jobs when the driver collects its garbage, so that is asked for too.
+    """
     jvm = df.sparkSession.sparkContext._jvm
     for file in {name.rpartition("/")[0] for name in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
