@@ -27,6 +27,8 @@ PHRASES = {
 
 #: Index words of a template.
 INDEXED = 4
+#: Offsets that one template's votes have room for; an array of words has fewer places.
+_SPAN = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -122,16 +124,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.expr(f"if(may_have_base, filter(transform(sequence(0, size(words) - 1), i -> named_struct('at', i, 'label', case {phrase_at} end)), x -> x.label is not null), null)").alias("base"),
         "may_have_more",
     )
-    # Where each indexed word stands, as (template, offset) votes; a pair is a candidate when two different words agree on it. Sorted,
-    # votes for one pair lie side by side.
+    # Where each indexed word stands, as votes for (template, offset); a pair is a candidate when two places agree on it. A vote is one
+    # number, template first, and votes for one pair lie side by side once sorted, so that the work grows with the words and not with
+    # their square, as comparing structs with each other would.
     found = compute_once(
         found,
-        votes=F.expr(f"""if(may_have_more, array_sort(array_distinct(flatten(transform(filter(transform(sequence(0, size(words) - 1), i -> named_struct('w', words[i], 'i', i)), x -> x.w in ({', '.join(f"'{w}'" for w in indexed)})),
-                   x -> transform(element_at(map({listed}), x.w), y -> named_struct('t', y.t, 'o', x.i - y.p, 'w', x.w)))))), null)"""),
+        votes=F.expr(f"""if(may_have_more, sort_array(flatten(transform(filter(transform(sequence(0, size(words) - 1), i -> named_struct('w', words[i], 'i', i)), x -> x.w in ({', '.join(f"'{w}'" for w in indexed)})),
+                   x -> transform(element_at(map({listed}), x.w), y -> y.t * {_SPAN}L + (x.i - y.p + {_SPAN // 2}L))))), null)"""),
     )
     found = compute_once(
         found,
-        aligned=F.expr("array_distinct(transform(filter(votes, (v, k) -> k > 0 and v.t = votes[k - 1].t and v.o = votes[k - 1].o), v -> named_struct('t', v.t, 'o', v.o)))"),
+        aligned=F.expr(f"""transform(filter(votes, (v, k) -> k > 0 and v = votes[k - 1] and (k = 1 or v <> votes[k - 2])),
+                   v -> named_struct('t', cast(v div {_SPAN}L as int), 'o', cast(v % {_SPAN}L - {_SPAN // 2}L as int)))"""),
     )
     verified = f"""transform(filter(transform(aligned, c -> named_struct('o', c.o, 'm', element_at(array({templates}), c.t + 1))),
                    c -> c.o + c.m.at >= 0 and slice(words, c.o + c.m.at + 1, size(c.m.phrase)) = c.m.phrase),

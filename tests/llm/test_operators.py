@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -394,6 +395,16 @@ def test_licence_scan_finds_every_notice_of_a_file(spark):
     assert set(found[1].split(",")) >= {t.label for t in wanted} and found[2] == "mpl" and found[3] == ""
 
 
+def test_licence_scan_of_a_long_text_takes_time_in_its_words(spark):
+    known = spark.createDataFrame([(1, "licensed under cc by " * 25_000), (2, "by under public licensed " * 25_000)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = {r["doc_id"]: r for r in licenses.scan(known).collect()}
+    assert time.perf_counter() - start < 60
+    assert found[1]["n_words"] == found[2]["n_words"] == 100_000
+    assert (found[1]["n_base"], found[1]["first_word"], found[1]["last_word"], found[1]["labels"]) == (25_000, 2, 99_998, "cc-by")
+    assert found[2]["n_base"] == 0 and found[2]["labels"] == ""
+
+
 def test_page_wrappers_named_like_menus_keep_their_article():
     article = "<article><header class='entry-header'><h1>T</h1></header><p>text</p><div class='comments'><article>reply</article></div></article>"
     for name in ("layout has-sidebar", "no-sidebar content", "content-with-menu", "navbar-fixed page", "sidebar", "menu page"):
