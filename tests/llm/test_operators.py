@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import os
 import random
 import re
 import time
@@ -358,10 +359,26 @@ def test_mixing_meets_targets_and_odd_rows(spark):
     share = {s: sum(r["w"] for r in table if r["source"] == s) for s in ("hot", "cold", "unknown")}
     assert share["hot"] == pytest.approx(share["cold"], rel=1e-3) and share["unknown"] == 0
     assert all(0 <= r["p"] <= 1 for r in table)
-    assert sum(r["p"] * r["tokens"] for r in table) == pytest.approx(0.5 * sum(r["tokens"] for r in table), rel=0.02)
+    # The scarce source is taken whole, and the sample is twice as large as it.
+    cold = sum(r["tokens"] for r in table if r["source"] == "cold")
+    assert sum(r["p"] * r["tokens"] for r in table) == pytest.approx(2 * cold, rel=0.01)
     assert mixing.sample(docs.where("false")).count() == 0
 
 
+def test_mixing_sample_meets_every_feasible_margin(spark, sf_dir):
+    # Enough documents for the sweeps to converge; 200 documents leave cells too few for that.
+    docs = spark.read.parquet(f"{os.path.dirname(sf_dir)}/sf0.01/documents.parquet")
+    table = mixing.margins(docs).collect()
+    assert {r["margin"] for r in table} == set(mixing.MARGINS)
+    assert all(r["feasible"] for r in table) and all(r["reached"] == pytest.approx(r["share"], rel=0.01) for r in table)
+    # A source too scarce for its target even in the smallest sample is taken whole and reported.
+    rows = [(i, "w w w", "en" if i % 2 else "de", "rare" if i == 7 else "a" if i % 3 else "b") for i in range(900)]
+    few = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    table = {r["value"]: r for r in mixing.margins(few, {"source": {"rare": 0.4, "a": 0.3, "b": 0.3}}).collect()}
+    assert not table["rare"]["feasible"] and table["rare"]["reached"] == pytest.approx(1 / 90, rel=0.01)
+    assert table["a"]["feasible"] and table["a"]["reached"] == pytest.approx(table["b"]["reached"], rel=0.01)
+
+
 LONG = "In the yard stand 3 carts and 4 barrels beside the old stone wall while the keeper of the gate writes a short report about the weather and the state of the road for the council of the town"
 HEAVY = "Convert 12 km 300 m and 5 kg 20 g"
 NAMES = "On most days when Anna meets Bertha near the bridge they walk with Carla towards the market square"
