@@ -127,8 +127,9 @@ def key_number_pairs(text: Column, keys: list[str]) -> Column:
         matches(lower, r"1\s*<<\s*(\d+)", True),
     )
     names = F.array(*[F.lit(k.upper()) for k in keys])
-    last = F.transform(names, lambda k: F.try_element_at(F.filter(found, lambda m: (m["key"] == k) & m["value"].isNotNull()), F.lit(-1)))
-    return F.filter(last, lambda m: m.isNotNull())
+    last = lambda found: F.transform(names, lambda k: F.try_element_at(F.filter(found, lambda m: (m["key"] == k) & m["value"].isNotNull()), F.lit(-1)))
+    # The matches are bound by an outer function, as an inner one would look for them again at every key.
+    return F.flatten(F.transform(F.array(found), lambda all_: F.filter(last(all_), lambda m: m.isNotNull())))
 
 
 def resolve_url(base: Column, ref: Column) -> Column:
