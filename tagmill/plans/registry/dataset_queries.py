@@ -82,13 +82,15 @@ def tag_vocab(spark, sf_dir):
 
 def encode_labels(spark, sf_dir):
     tags = _item_tags(spark, sf_dir)
-    return labels.encode_labels(tags, labels.vocabulary(tags))
+    counts = labels.frequencies(tags)
+    return labels.encode_labels(tags, labels.vocabulary(counts), counts)
 
 
 def decode_labels(spark, sf_dir):
     tags = _item_tags(spark, sf_dir)
-    vocab = labels.vocabulary(tags)
-    return labels.decode_labels(labels.encode_labels(tags, vocab), vocab).groupBy("tag").agg(F.count("*").alias("n_items"))
+    counts = labels.frequencies(tags)
+    vocab = labels.vocabulary(counts)
+    return labels.decode_labels(labels.encode_labels(tags, vocab, counts), vocab, counts).groupBy("tag").agg(F.count("*").alias("n_items"))
 
 
 def csv_wide_tags(spark, sf_dir):

@@ -66,10 +66,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows that one task takes, about, where rows cost much time or memory: compact files hold many in a split.
+TASK_ROWS = 1 << 17
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks share ``rows``: one a core at least, and so many that none takes more than about TASK_ROWS."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan that has fewer splits than the session has cores, as one small file does.
+    """Hash-partition a scan that has fewer splits than the session has cores, as one small file does, or than its rows need.
 
-    A large table has splits enough and is left alone, so this never shuffles at scale.
+    What a task takes then does not grow with the table. Splits are dealt by bytes, which say little about a compact file's rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    tasks = tasks_for(df.sparkSession, df.count())
+    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from tagmill import session
 from tagmill.operators import evaluate, labels, model
 
 
@@ -68,6 +69,34 @@ def test_vocabulary_round_trip(spark):
     ]
 
 
+def test_frequent_tags_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = [(i, "often") for i in range(2000)] + [(i, f"tag {i % 700}") for i in range(1400)]
+    rows += [(1, "often"), (1, "tag 1"), (None, "often"), (None, "often"), (None, "tag 3"), (5, None), (6, "unknown"), (7, "unknown")]
+    tags = spark.createDataFrame(rows, "id long, tag string")
+    names = sorted({t for _, t in rows if t} - {"unknown"})
+    vocab = spark.createDataFrame(list(enumerate(names)), "idx long, tag string")
+    for broadcast in (0, 1 << 16):
+        monkeypatch.setattr(labels, "BROADCAST_TAGS", broadcast, raising=False)
+        encoded = labels.encode_labels(tags, vocab)
+        found = encoded.rdd.glom().map(lambda part: [tuple(r) for r in part]).collect()
+        assert max(map(len, found)) <= 800
+        want = {(i, names.index(t)) for i, t in rows if t in names}
+        assert sorted((r for part in found for r in part), key=repr) == sorted(want, key=repr)
+        decoded = labels.decode_labels(encoded, vocab)
+        assert decoded.columns == ["class_idx", "id", "tag"]
+        assert max(decoded.rdd.glom().map(len).collect()) <= 800
+        assert sorted(map(tuple, decoded.collect()), key=repr) == sorted(((c, i, names[c]) for i, c in want), key=repr)
+
+
+def test_tasks_of_a_driving_table_are_bounded_by_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50, raising=False)
+    path = str(tmp_path / "rows")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    parts = session.spread(spark.read.parquet(path), "id").rdd.glom().map(len).collect()
+    assert sum(parts) == 1000 and max(parts) <= 100
+
+
 def test_block_scoring_equals_one_block(spark, monkeypatch):
     rng = random.Random(1)
     features = spark.createDataFrame(

@@ -107,3 +107,12 @@ def test_equal_throughputs_take_the_smallest_name(spark):
     rows = [("b", 5.0, 0.0), ("a", 5.0, 0.0), ("c", 9.0, 0.9)]
     summary = spark.createDataFrame(rows, "test_name string, requests_per_second double, rate_limited_share double")
     assert tuple(best_config(summary).first()) == ("a", 5.0)
+
+
+def test_pairs_are_looked_for_in_tasks_bounded_by_rows(spark, sf_dir, monkeypatch):
+    from tagmill import session
+    from tagmill.plans.registry import all_queries
+
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    monkeypatch.setattr(session, "TASK_ROWS", rows // 20, raising=False)
+    assert all_queries()["regex_pairs"][0](spark, sf_dir).rdd.getNumPartitions() >= 20
