@@ -142,9 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not n1 or not n0:
         share = (n1 + 1) / (n1 + n0 + 2)
         return Model(np.zeros(DIMS), 1.0, float(np.log(share / (1 - share))))
-    counts = class_counts(labelled).toPandas()  # at most DIMS rows
-    good, bad = np.zeros(DIMS), np.zeros(DIMS)
-    good[counts["gram"]], bad[counts["gram"]] = counts["good"], counts["bad"]
+    counts = class_counts(labelled).toArrow()  # at most DIMS rows, as columns rather than as Python objects
+    gram, good, bad = counts["gram"].to_numpy(), np.zeros(DIMS), np.zeros(DIMS)
+    good[gram], bad[gram] = counts["good"].to_numpy(), counts["bad"].to_numpy()
     ratios = log_count_ratios(good, bad)
 
     # A bounded share of ids, by hash, so the choice does not depend on how the rows are partitioned.
