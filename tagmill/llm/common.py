@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows, times its row width, stay below this.
 BROADCAST_BYTES = 64 << 20
+#: Bytes of rows that a task hands to its Python worker at a time, about; a batch has one row at least.
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,16 @@ def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session's Python workers take texts by bytes, unless the session sets a bound of its own.
+
+    Batches are dealt by rows else (10,000), so that their memory, held in the executor and in each worker, grows with the texts.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, str(BATCH_BYTES))
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(f"`{text}`"), F.lit(""))
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import narrow, text_or_empty
+from tagmill.llm.common import bounded_batches, narrow, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -221,6 +221,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> dict[Pattern, float]:
         if seen:
             yield pd.DataFrame({"kind": [p[0] for p in seen], "vote": [list(p[1]) for p in seen], "feature": [list(p[2]) for p in seen], "n": list(seen.values())})
 
+    bounded_batches(docs.sparkSession)
     parts = docs.select(text_or_empty(text_col).alias("text")).mapInPandas(run, "kind string, vote array<int>, feature array<int>, n long")
     rows = parts.groupBy("kind", "vote", "feature").agg(F.sum("n").alias("n")).collect()
     return train({(r["kind"], tuple(r["vote"]), tuple(r["feature"])): r["n"] for r in rows})
@@ -255,6 +256,7 @@ def find(docs: DataFrame, model: dict[Pattern, float], id_col: str = "doc_id", t
                 out["spans"].append(joined(spans))
             yield pd.DataFrame(out)
 
+    bounded_batches(docs.sparkSession)
     base = _texts(docs, id_col, text_col)
     kind = dict(base.dtypes)["id"]
     carried = base.withColumn("id", F.col("id").cast("string"))  # pandas would round long ids beside a null
@@ -279,4 +281,5 @@ def masked(docs: DataFrame, model: dict[Pattern, float], text_col: str = "text")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([t if t is None else mask(t, decide(t, model)) for t in texts], dtype=object)
 
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(text_col, run(F.col(f"`{text_col}`")))

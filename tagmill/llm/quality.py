@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.llm.common import broadcast_if_bounded, narrow, text_or_empty
+from tagmill.llm.common import bounded_batches, broadcast_if_bounded, narrow, text_or_empty
 
 BITS = 17
 DIMS = 1 << BITS
@@ -133,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Null ids, null labels and labels other than 0 and 1 are ignored; an id labelled twice takes the lower label; null texts are
     empty. Without rows of both classes the model scores every text with the share of good rows (0.5 without any row).
     """
+    bounded_batches(docs.sparkSession)
     marks = narrow(labels, id_col, label_col).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     marks = marks.where("id is not null and label in (0, 1)").where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"))
     texts = narrow(docs, id_col, text_col).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -188,5 +189,6 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
         grams = Grams()
         return pd.Series([model.score(grams.of(t)) for t in texts], dtype="float64")
 
+    bounded_batches(docs.sparkSession)
     scored = docs.withColumn("quality_score", run(text_or_empty(text_col)))
     return scored.withColumn("quality_predicted", (F.col("quality_score") >= threshold).cast("int"))

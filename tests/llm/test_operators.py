@@ -10,8 +10,10 @@ import time
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tagmill.llm import leaks, licenses, mixing, neighbours, pages, pii, quality, queries, simhash, suffixes, tokens
+from tagmill.llm import leaks, licenses, mixing, neighbours, pages, pii, quality, queries, shingles, simhash, suffixes, tokens
+from tagmill.llm.common import BATCH_BYTES
 from tagmill.llm.components import components
 from tests.oracle import rows as plain_rows
 
@@ -275,6 +277,25 @@ def test_quality_of_odd_rows_and_missing_labels(spark):
     assert quality.score(documents(spark, []), quality.fit(documents(spark, []), none)).count() == 0
 
 
+def test_python_workers_take_texts_by_bytes(spark):
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = documents(spark, [(i, "word " * 10_000) for i in range(100)]).coalesce(1)
+    untrained = quality.Model(np.zeros(quality.DIMS), 1.0, 0.0)
+    sizes = F.pandas_udf(lambda texts: texts.str.len() * 0 + texts.str.len().sum(), "long")
+    try:
+        for use in (lambda: quality.score(docs, untrained), lambda: quality.fit(docs, docs.selectExpr("doc_id", "1 quality")), lambda: pii.masked(docs, {}), lambda: shingles.keep_one(docs)):
+            spark.conf.unset(bound)
+            use()
+            taken = docs.select("text").mapInPandas(lambda batches: (b["text"].str.len().agg(["sum"]).to_frame("n") for b in batches), "n long")
+            assert max(r["n"] for r in taken.collect()) <= 2 * BATCH_BYTES
+            assert max(r["n"] for r in docs.select(sizes("text").alias("n")).collect()) <= 2 * BATCH_BYTES
+        spark.conf.set(bound, "12345678")  # a session's own bound stands
+        quality.score(docs, untrained)
+        assert "12345678" in spark.conf.get(bound)
+    finally:
+        spark.conf.unset(bound)
+
+
 # --- neighbours ------------------------------------------------------------------------------------------------------
 
 
