@@ -7,6 +7,7 @@ coordinate difference exceeds r is discarded, and the survivors are verified by
 Coordinates of near-random fingerprints crowd around 32, so a pivot table alone would have to look at almost all pairs.
 Rows therefore meet only where the six blocks of their bits agree in at least three: with at most three differing bits no
 pair can miss that (each bit spoils one block). Meeting places are 32-bit keys, so the pairs met stay few at any size.
+The rows that meet are shuffled at any size: Spark sizes them by the narrow fingerprints, some hundred times too low, and would broadcast them.
 """
 
 from __future__ import annotations
@@ -98,7 +99,7 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) -
     for i, m in reversed(list(enumerate(masks))):
         meeting = F.when(apart.bitwiseAND(F.lit(_signed(m))) == 0, F.lit(i)).otherwise(meeting)
     verified = (F.bit_count(apart) <= radius) & (meeting == F.col("x.c"))  # a pair counts at its first meeting place only
-    return x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.k") == F.col("y.k")) & near & verified).select(
+    return x.join(y.hint("merge"), (F.col("x.c") == F.col("y.c")) & (F.col("x.k") == F.col("y.k")) & near & verified).select(
         F.col("x.fp").alias("a"), F.col("y.fp").alias("b")
     )
 

@@ -88,6 +88,13 @@ def test_links_are_complete(spark):
     assert found == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+def test_rows_that_meet_are_shuffled_at_any_size(spark):
+    # Twenty rows of some 170 bytes stand for each fingerprint, which Spark takes for one of a few bytes.
+    fps = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.links(fps)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_keep_one_and_empty_table(spark):
     kept = [r["doc_id"] for r in simhash.keep_one(documents(spark, odd_texts())).collect()]
     assert sorted(kept, key=str) == [1, 4, 5, None, None]
