@@ -23,9 +23,13 @@ def narrow(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted size is bounded; else the planner joins it by shuffling."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def broadcast_if_bounded(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """``df`` with a broadcast hint if its counted size is bounded; else it is joined by shuffling, whatever size the planner takes it for.
+
+    ``row_bytes`` is what a row takes, or an expression for rows whose sizes differ.
+    """
+    size = df.count() * row_bytes if isinstance(row_bytes, int) else df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("merge")
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders; windows of five template words, and of five words as they stand, are hash-joined
 with those of the benchmark; and what fills the slots must map one to one between an item and its occurrence, which tells a question
-with new parameters from a chance likeness. Letter case decides about names only: words as they stand are compared in lower case, so
+with new parameters from a chance likeness. A text has as many windows as words, so windows go about as hashes; the words of the few texts
+that share one with an item are looked at in a second reading. Letter case decides about names only: words as they stand are compared in lower case, so
 a copy in other case or layout is found by them.
 """
 
@@ -60,19 +61,26 @@ def _hashes(each: str) -> Column:
     return F.expr(f"if(size({each}) < {WINDOW}, array(), transform(sequence(0, size({each}) - {WINDOW}), i -> xxhash64({parts})))")
 
 
-def _prepared(rows: DataFrame, key: str, text_col: str, name: str) -> DataFrame:
-    """(name, tpl, raw, hashes, raw_hashes). Each step stands for itself, since a column that an expression names twice is computed twice."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    base = narrow(rows, key, text_col).select(F.col(key).alias(name), text.alias("body"))
-    marked = compute_once(base, marked=_marked(F.col("body")))
-    words = compute_once(marked, tpl=_templates(F.col("marked")), raw=_raw_words(F.col("body"))).drop("body", "marked")
-    words = compute_once(words, tpl_each=_each("tpl"), raw_each=_each("raw"))
-    return compute_once(words, hashes=_hashes("tpl_each"), raw_hashes=_hashes("raw_each")).drop("tpl_each", "raw_each")
+def _bodies(rows: DataFrame, key: str, text_col: str, name: str) -> DataFrame:
+    """(name, body): the text of each row."""
+    return narrow(rows, key, text_col).select(F.col(key).alias(name), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("body"))
+
+
+def _words(bodies: DataFrame) -> DataFrame:
+    """``bodies`` with tpl and raw in place of the text. Each step stands for itself, since a column that an expression names twice is computed twice."""
+    marked = compute_once(bodies, marked=_marked(F.col("body")))
+    return compute_once(marked, tpl=_templates(F.col("marked")), raw=_raw_words(F.col("body"))).drop("body", "marked")
+
+
+def _hashed(words: DataFrame) -> DataFrame:
+    """``words`` with the hashes and raw_hashes of its windows."""
+    each = compute_once(words, tpl_each=_each("tpl"), raw_each=_each("raw"))
+    return compute_once(each, hashes=_hashes("tpl_each"), raw_hashes=_hashes("raw_each")).drop("tpl_each", "raw_each")
 
 
 def _items(items: DataFrame, key: str, text_col: str) -> DataFrame:
     """(item_id, variant, itpl, iraw, hashes, raw_hashes) of each item that has a window; different texts of an id are variants."""
-    rows = _prepared(items.where(F.col(key).isNotNull()).dropDuplicates([key, text_col]), key, text_col, "item_id")
+    rows = _hashed(_words(_bodies(items.where(F.col(key).isNotNull()).dropDuplicates([key, text_col]), key, text_col, "item_id")))
     return rows.where(F.size("hashes") > 0).select("item_id", F.xxhash64("raw").alias("variant"), F.col("tpl").alias("itpl"), F.col("raw").alias("iraw"), "hashes", "raw_hashes").dropDuplicates(["item_id", "variant"])
 
 
@@ -103,20 +111,27 @@ def find(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, id_c
     stand. Slots whose filling disagrees with the fillings of most other slots (equal ones must correspond to equal ones, both ways)
     take their windows out, verbatim windows excepted. An item is held where at least ``similarity`` of its windows remain. Null texts
     are empty, null ids are ignored; items with fewer than five words are never found. Repeated rows change nothing. Extra columns
-    are ignored. The benchmark is broadcast if its counted size is bounded, else the planner shuffles both sides.
+    are ignored. The benchmark, and the alignments found, are broadcast if their counted size is bounded, else both sides are shuffled.
     """
     known = cut(_items(items, item_col, item_text_col))
-    wanted = broadcast_if_bounded(_anchors(known), 128)
-    pages = _prepared(docs.where(F.col(id_col).isNotNull()), id_col, text_col, "doc_id")
+    wanted = broadcast_if_bounded(cut(_anchors(known)), 128)
+    # Rows that share an id are aligned by themselves.
+    pages = _bodies(docs.where(F.col(id_col).isNotNull()), id_col, text_col, "doc_id").withColumn("copy", F.xxhash64("body"))
     # Each place's template window, and its raw window where that is another one.
     places = F.expr("filter(concat(transform(hashes, (h, i) -> struct(i as pos, h as h)), transform(raw_hashes, (h, i) -> if(h = hashes[i], null, struct(i as pos, h as h)))), x -> x is not null)")
-    pages = compute_once(pages, copy=F.xxhash64("raw"), places=places)  # rows that share an id are aligned by themselves
-    windows = pages.select("doc_id", "copy", "tpl", "raw", F.explode("places").alias("x")).select("doc_id", "copy", "tpl", "raw", F.col("x.pos").alias("pos"), F.col("x.h").alias("h"))
+    windows = compute_once(_hashed(_words(pages)).select("doc_id", "copy", "hashes", "raw_hashes"), places=places).select("doc_id", "copy", F.inline("places").alias("pos", "h"))
+    shifts = windows.join(wanted, "h").select("doc_id", "copy", "item_id", "variant", "n_words", (F.col("pos") - F.col("ipos")).alias("shift"))
+    shifts = cut(shifts.groupBy(*shifts.columns).agg(F.lit(1).alias("_")).drop("_"))
+    found = shifts.select(F.col("doc_id").alias("_doc"), F.col("copy").alias("_copy"), "item_id", "variant", "n_words", "shift")
+    here = (F.col("doc_id") == F.col("_doc")) & (F.col("copy") == F.col("_copy"))
+    held_by = broadcast_if_bounded(found.select("_doc", "_copy").distinct(), 128)
+    hits = _words(pages.join(held_by, here, "left_semi")).join(broadcast_if_bounded(found, 192), here)
     # The document's words beside the item's, from its first to its last; null where the document has not begun yet or is over.
-    beside = lambda c: f"transform(sequence(0, n_words - 1), j -> if(pos - ipos + j < 0, null, get({c}, pos - ipos + j)))"
-    hits = windows.join(wanted, "h").select("doc_id", "copy", "item_id", "variant", (F.col("pos") - F.col("ipos")).alias("shift"), F.expr(beside("tpl")).alias("dtpl"), F.expr(beside("raw")).alias("draw"))
+    beside = lambda c: F.expr(f"transform(sequence(0, n_words - 1), j -> if(shift + j < 0, null, get({c}, shift + j)))")
+    hits = hits.select("doc_id", "copy", "item_id", "variant", "shift", beside("tpl").alias("dtpl"), beside("raw").alias("draw"))
     aligned = hits.groupBy("doc_id", "copy", "item_id", "variant", "shift").agg(F.first("dtpl").alias("dtpl"), F.first("draw").alias("draw"))
-    aligned = aligned.join(broadcast_if_bounded(known.select("item_id", "variant", "itpl", "iraw"), 2048), ["item_id", "variant"])
+    passages = known.select("item_id", "variant", "itpl", "iraw")
+    aligned = aligned.join(broadcast_if_bounded(passages, 128 + 64 * F.size("itpl")), ["item_id", "variant"])
 
     typed = f"dtpl[j] in ('{NUMBER}', '{NAME}', '{UNIT}')"
     within = lambda rule: F.expr(f"filter(sequence(0, size(itpl) - {WINDOW}), p -> {' and '.join(f'{rule}[p + {k}]' for k in range(WINDOW))})")
@@ -163,5 +178,5 @@ def find(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, id_c
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id are kept."""
-    leaked = find(docs, items, id_col=id_col, **options).select(F.col(id_col).alias("_leaked")).distinct()
-    return docs.join(leaked, F.col(id_col) == F.col("_leaked"), "left_anti")
+    leaked = cut(find(docs, items, id_col=id_col, **options).select(F.col(id_col).alias("_leaked")).distinct())
+    return docs.join(broadcast_if_bounded(leaked, 96), F.col(id_col) == F.col("_leaked"), "left_anti")

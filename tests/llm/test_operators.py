@@ -247,6 +247,31 @@ def test_licence_base_and_labels(spark, sf_dir):
 ITEM = "A train leaves with 12 cars and Anna counts 30 km of track before the next 12 bridges appear near the river"
 
 
+def test_leaks_carry_hashes_of_windows_and_no_words(spark, monkeypatch):
+    text = "the quick brown fox jumps over the lazy dog and runs away from the farm"
+    docs = spark.createDataFrame([(1, f"before {text} after"), (2, "nothing of that kind is said in here at all"), (3, f"x {text}"), (3, f"x {text}"), (3, f"other words before {text}")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text), (8, text)], "item_id long, text string")
+    cut, tables = leaks.cut, []
+    monkeypatch.setattr(leaks, "cut", lambda df: tables.append(cut(df)) or tables[-1])
+    found = leaks.find(docs, items)
+    exploded = [line for line in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "pos#" in line and "Generate" in line]
+    assert not exploded  # the windows' part of the job is over: what follows reads the alignments found
+    shifts = next(t for t in tables if "shift" in t.columns)
+    assert {kind for name, kind in shifts.dtypes if name != "doc_id"} == {"bigint", "int"} and {r["doc_id"] for r in shifts.collect()} == {1, 3}
+    rows = sorted((r["doc_id"], r["item_id"], r["n_windows"], r["n_matched"], r["kind"]) for r in found.collect())
+    assert rows == [(d, i, 11, 11, "verbatim") for d in (1, 3) for i in (7, 8)]
+    plan = leaks.without_leaks(docs, items)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # no text is shuffled
+    assert [r["doc_id"] for r in leaks.without_leaks(docs, items).collect()] == [2]
+    # Beyond the bound, sides are shuffled, whatever size the planner takes them for.
+    import tagmill.llm.common as common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    shuffled = leaks.find(docs, items)
+    assert "Broadcast" not in shuffled._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r["doc_id"], r["item_id"], r["n_windows"], r["n_matched"], r["kind"]) for r in shuffled.collect()) == rows
+
+
 def test_leaks_verbatim_reparameterised_and_inconsistent(spark):
     new = ITEM.replace("12", "47").replace("Anna", "Bertha").replace("30 km", "9 mi")
     texts = odd_texts() + [(20, f"Before that {ITEM} and more."), (21, f"so it was: {new}"), (22, ITEM.replace("12 bridges", "13 bridges")), (23, "A train leaves with 12 cars")]
