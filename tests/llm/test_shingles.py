@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from tagmill.llm import shingles
 from tests.llm.test_operators import documents, groups, odd_texts, sampled
 
@@ -104,3 +105,12 @@ def test_common_shingles_are_in_order(spark):
     common = shingles._common(texts, 5)
     assert common[:, 0].tolist() == shingles.shingles("one two three four five").tolist() and common[0, 1] >= shingles.SEEN
     assert shingles._common(texts.limit(0), 5).shape == (0, 2)
+
+
+def test_exploded_prefixes_are_not_broadcast(spark, monkeypatch):
+    cut, plans = shingles.cut, []
+    monkeypatch.setattr(shingles, "cut", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or cut(df))
+    texts = shingles._texts(documents(spark, [(1, "a b c d e f"), (2, "g h i j k l"), (3, "a b c d e f g")]), "doc_id", "text")
+    found = shingles._postings(shingles._sets(texts, np.empty((0, 2), np.int64), 8, 5))
+    assert found.count() == 2
+    assert any("posexplode" in p for p in plans) and not any("Broadcast" in p for p in plans)
