@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
-from tagmill.llm import shingles
+from tagmill.llm import shingles, simhash
 from tests.llm.test_operators import documents, groups, odd_texts, sampled
 
 
@@ -107,6 +107,23 @@ def test_common_shingles_are_in_order(spark):
     assert shingles._common(texts.limit(0), 5).shape == (0, 2)
 
 
+def test_stage_drops_what_the_simhash_operator_links(spark, sf_dir):
+    rng = random.Random(23)
+    base = [f"w{rng.randrange(4000)}" for _ in range(400)]
+    # A word in each thirty changed: 0.73 of the five-word shingles are shared, and the fingerprints of some copies differ in three bits or fewer.
+    texts = list(enumerate([" ".join(base), *[edited(rng, base, 13) for _ in range(120)]], 1))
+    first = simhash.simhash(texts[0][1])
+    near = [i for i, t in texts[1:] if (simhash.simhash(t) ^ first).bit_count() <= simhash.RADIUS]
+    name, _ = want(texts)
+    assert near and all(name[i] != 1 for i in near)
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, documents(spark, texts), sf_dir).collect()}
+    assert not kept & set(near)
+    by_operator = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(spark, texts)).collect()}
+    # A group is what links of both kinds reach, and its smallest id stays.
+    linked = [(i, j) for i in name for j in name if i < j and (name[i] == name[j] or by_operator[i] == by_operator[j])]
+    assert kept == set(groups(dict(texts), linked).values())
+
+
 def test_exploded_prefixes_are_not_broadcast(spark, monkeypatch):
     cut, plans = shingles.cut, []
     monkeypatch.setattr(shingles, "cut", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or cut(df))
